@@ -18,9 +18,7 @@ def lit(text: str) -> str:
 
 def canonical_key(key: str, kind: str = "string") -> str:
     """Identifier as text.  Keys that passed through a float (``10001234.0``) lose the decimal part."""
-    if kind.startswith(FRACTIONAL):
-        return f"CAST(try_cast({key} AS BIGINT) AS STRING)"
-    return f"regexp_replace(trim(CAST({key} AS STRING)), '[.]0$', '')"
+    return _padded_key(key, kind, None)
 
 
 def pad_code(code: str, short: int, fill: str = "0") -> str:
@@ -28,14 +26,25 @@ def pad_code(code: str, short: int, fill: str = "0") -> str:
     return f"CASE WHEN length({code}) = {short} THEN concat({lit(fill)}, {code}) ELSE {code} END"
 
 
+def _padded_key(key: str, kind: str, short: int | None) -> str:
+    # Plain string operations: this runs on every row of every fact table, where a regular expression would show.
+    def pad(text: str) -> str:
+        return text if short is None else pad_code(text, short)
+
+    if kind.startswith(FRACTIONAL):
+        return pad(f"CAST(try_cast({key} AS BIGINT) AS STRING)")
+    text = key if kind == "string" else f"CAST({key} AS STRING)"
+    return f"CASE WHEN endswith({text}, '.0') THEN {pad(f'left({text}, length({text}) - 2)')} ELSE {pad(text)} END"
+
+
 def establishment_key(key: str, kind: str = "string") -> str:
     """Canonical 9-character establishment number."""
-    return pad_code(canonical_key(key, kind), 8)
+    return _padded_key(key, kind, 8)
 
 
 def commune_key(key: str, kind: str = "string") -> str:
     """Canonical 5-character commune code."""
-    return pad_code(canonical_key(key, kind), 4)
+    return _padded_key(key, kind, 4)
 
 
 def prefix_key(label: str, n: int = 9) -> str:

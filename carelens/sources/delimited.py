@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from carelens.fixed_values import MISSING_TOKENS, SAMPLE_FILES
 from carelens.functions.keys import lit, named, ref
 from carelens.sources.headers import column_names
-from carelens.tables import SCHEMAS, apply_schema, infer_types
+from carelens.tables import SCHEMAS, Schema, apply_schema, infer_types
 
 
 def _options(sep: str, encoding: str, multiline: bool) -> dict[str, object]:
@@ -29,7 +29,7 @@ def read_delimited(
     path: str | list[str],
     sep: str = ";",
     encoding: str = "UTF-8",
-    schema: StructType | None = None,
+    schema: Schema | None = None,
     infer: bool = False,
     missing: Iterable[str] = MISSING_TOKENS,
     multiline: bool = False,
@@ -69,7 +69,7 @@ def read_folder(
     folder: str,
     encoding: str = "UTF-8",
     skip_pattern: str | None = SAMPLE_FILES,
-    schemas: dict[str, StructType] | None = None,
+    schemas: dict[str, Schema] | None = None,
     views: bool = True,
 ) -> dict[str, DataFrame]:
     """Every delimited file of a folder as a table named by its stem, registered as a view of the same name.

@@ -1,7 +1,6 @@
 """The source tables of the reports: names, declared columns, and typing of raw text columns."""
 
 from pyspark.sql import DataFrame
-from pyspark.sql.types import DataType, DecimalType, DoubleType, IntegerType, StringType, StructType
 
 from carelens.fixed_values import DASHBOARD_2022_ONLY, DASHBOARD_FTE, DASHBOARD_PERSONS, DASHBOARD_RATES
 from carelens.functions.keys import named, ref
@@ -48,76 +47,77 @@ FINANCE_SOURCES = (
 )
 
 
-def _ddl(**groups: str) -> StructType:
-    return StructType.fromDDL(", ".join(f"`{name}` {kind}" for kind, names in groups.items() for name in names.split()))
+Schema = dict[str, str]
 
 
-def _dashboard(year: int) -> StructType:
+def _columns(**groups: str) -> Schema:
+    return {name: kind for kind, names in groups.items() for name in names.split()}
+
+
+def _dashboard(year: int) -> Schema:
     rate = "string" if year == 2020 else "double"
-    columns = [("finess_geographique", "string")]
-    columns += [(c, rate) for c in DASHBOARD_RATES.values()]
-    columns += [(c, "double") for c in (*DASHBOARD_FTE.values(), DASHBOARD_PERSONS)]
-    columns += [(c, "double") for c in DASHBOARD_2022_ONLY.values()] if year == 2022 else []
-    return StructType.fromDDL(", ".join(f"`{name}` {kind}" for name, kind in columns))
+    numbers = [*DASHBOARD_FTE.values(), DASHBOARD_PERSONS, *(DASHBOARD_2022_ONLY.values() if year == 2022 else ())]
+    return {
+        "finess_geographique": "string",
+        **dict.fromkeys(DASHBOARD_RATES.values(), rate),
+        **dict.fromkeys(numbers, "double"),
+    }
 
 
-def _finance(value: str) -> StructType:
-    return StructType.fromDDL(f"`{FINANCE_LABEL}` string, `{value}` decimal(18,2)")
+def _finance(value: str) -> Schema:
+    return {FINANCE_LABEL: "string", value: "decimal(18,2)"}
 
 
-# Money is decimal so that sums are exact and do not depend on the order rows arrive in.
-SCHEMAS: dict[str, StructType] = {
-    FACILITIES: _ddl(
+# Column kinds: string, int, double, decimal(p,s).  Money is decimal so that sums are exact and do not depend on the order rows arrive in.
+SCHEMAS: dict[str, Schema] = {
+    FACILITIES: _columns(
         string="finess categ_lib rs ej_finess ej_rs statut_jur_lib adresse_num_voie adresse_comp_voie"
         " adresse_type_voie adresse_nom_voie adresse_lieuditbp adresse_lib_routage adresse_code_postal com_code",
         int="categ_code",
     ),
-    COMMUNES: _ddl(string="com dep ncc comparent", int="reg"),
-    DEPARTMENTS: _ddl(string="dep ncc", int="reg"),
-    REGIONS_TABLE: _ddl(string="ncc", int="reg"),
-    COMPLAINTS: _ddl(string="ndeg_finessrpps signalement motifs_igas"),
-    INCIDENTS: _ddl(
+    COMMUNES: _columns(string="com dep ncc comparent", int="reg"),
+    DEPARTMENTS: _columns(string="dep ncc", int="reg"),
+    REGIONS_TABLE: _columns(string="ncc", int="reg"),
+    COMPLAINTS: _columns(string="ndeg_finessrpps signalement motifs_igas"),
+    INCIDENTS: _columns(
         string="declarant_organismendeg_finess survenue_du_cas_en_collectivitendeg_finess date_de_reception"
         " reclamation declarant_type_etablissement_si_esems ceci_est_un_eigs famille_principale nature_principale"
     ),
-    MISSIONS: _ddl(
+    MISSIONS: _columns(
         string="code_finess identifiant_de_la_mission date_provisoire_visite date_reelle_visite"
         " modalite_dinvestigation"
     ),
-    CLASSES: StructType.fromDDL(f"`{CLASS_LABEL}` string, cadre string"),
-    CLASS_DUPLICATES: _ddl(string="finess"),
-    CAPACITIES: _ddl(
+    CLASSES: {CLASS_LABEL: "string", "cadre": "string"},
+    CLASS_DUPLICATES: _columns(string="finess"),
+    CAPACITIES: _columns(
         string="et-ndegfiness total_heberg_comp_inter_places_autorisees total_accueil_de_jour_places_autorisees"
         " total_accueil_de_nuit_places_autorisees"
     ),
-    TOTAL_CAPACITY: _ddl(string="etiquettes_de_lignes", double="somme_de_capacite_autorisee_totale_"),
-    OCCUPATION_2020: _ddl(string="finess_19", double="taux_occ_2020"),
-    OCCUPATION_2021: _ddl(string="finess", double="taux_occ_2021"),
-    OCCUPATION_2022: _ddl(
+    TOTAL_CAPACITY: _columns(string="etiquettes_de_lignes", double="somme_de_capacite_autorisee_totale_"),
+    OCCUPATION_2020: _columns(string="finess_19", double="taux_occ_2020"),
+    OCCUPATION_2021: _columns(string="finess", double="taux_occ_2021"),
+    OCCUPATION_2022: _columns(
         string="finess", double="taux_occ_2022 taux_occ_trimestre3", int="nb_lits_autorises_installes nb_lits_occ_2022"
     ),
-    LODGING: _ddl(string="finesset", double="prixhebpermcs"),
-    DEPENDENCY: _ddl(string="finess_et", double="gmp pmp"),
-    INDICATORS: _ddl(string="et_finess taux_plus_10_medics_cip13 taux_hospit_mco taux_hospit_had"),
+    LODGING: _columns(string="finesset", double="prixhebpermcs"),
+    DEPENDENCY: _columns(string="finess_et", double="gmp pmp"),
+    INDICATORS: _columns(string="et_finess taux_plus_10_medics_cip13 taux_hospit_mco taux_hospit_had"),
     **{table: _dashboard(year) for year, table in DASHBOARDS.items()},
     **{table: _finance(value) for table, _, _, value in FINANCE_SOURCES},
 }
 
 
-def _typed(name: str, kind: DataType) -> str:
-    if isinstance(kind, StringType):
+def _typed(name: str, kind: str) -> str:
+    if kind == "string":
         return ref(name)
-    if isinstance(kind, IntegerType):
+    if kind == "int":
         return named(f"try_cast({lenient_int(ref(name))} AS INT)", name)
-    if isinstance(kind, (DoubleType, DecimalType)):
-        return named(decimal_comma(ref(name), to=kind.simpleString()), name)
-    return named(f"try_cast({ref(name)} AS {kind.simpleString()})", name)
+    return named(decimal_comma(ref(name), to=kind), name)
 
 
-def apply_schema(raw: DataFrame, schema: StructType) -> DataFrame:
+def apply_schema(raw: DataFrame, schema: Schema) -> DataFrame:
     """Type the declared columns of an all-text frame; columns without declaration stay text."""
-    kinds = {f.name: f.dataType for f in schema.fields}
-    return raw.selectExpr(*[_typed(c, kinds.get(c, StringType())) for c in raw.columns])
+    return raw.selectExpr(*[_typed(c, schema.get(c, "string")) for c in raw.columns])
 
 
 def infer_types(raw: DataFrame) -> DataFrame:

@@ -152,8 +152,7 @@ VIEWS: dict[str, str] = {
                CASE WHEN o_orderkey % 9 = 8 THEN 'à fixer'
                     ELSE '15/06/' || CAST(year(o_orderdate) + 25 AS STRING) END AS date_provisoire_visite,
                CASE WHEN o_orderkey % 11 = 10 THEN NULL
-                    ELSE substr(CAST(CAST(o_orderdate AS DATE) AS STRING), 9, 2) || '/'
-                         || substr(CAST(CAST(o_orderdate AS DATE) AS STRING), 6, 2) || '/'
+                    ELSE CAST(10 + o_orderkey % 19 AS STRING) || '/0' || CAST(1 + o_custkey % 9 AS STRING) || '/'
                          || CAST(year(o_orderdate) + 24 AS STRING) END AS date_reelle_visite,
                {one_of('o_orderkey', ['Sur site', 'Sur pièces', 'Autre'])} AS modalite_dinvestigation
         FROM {{orders}}""",
