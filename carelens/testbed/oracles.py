@@ -62,7 +62,7 @@ def number(x: str) -> str:
 
 def rounded(x: str, digits: int) -> str:
     """Half away from zero on the decimal digits of a double."""
-    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,15)), {digits}) AS DOUBLE)"
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE)"
 
 
 def ratio(a: str, b: str) -> str:
@@ -365,7 +365,7 @@ def _duplicates(side: str, keys: str) -> str:
 _CSV_FIELDS = (
     "CAST(c_custkey AS {kind}) AS ndeg_finessrpps, c_mktsegment AS unnamed_1, CAST(c_nationkey AS {kind}) AS dont_amp,"
     " CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE CAST(c_custkey % 11 AS {kind}) END AS dont_amp1,"
-    " 'Été n°' || CAST(c_custkey % 5 AS VARCHAR) AS libelle_detape, c_name || ' ; \"cité\"' AS coeur_dactivite"
+    " 'Été n°' || CAST(c_custkey % 5 AS VARCHAR) AS libelle_detape, c_name || ' ; \"cité\"'"
 )
 _RATES = [number(c) for c in DASHBOARD_RATES.values()]
 _FACILITY_CAPACITY = " + ".join(
@@ -490,8 +490,8 @@ def oracle_sql() -> dict[str, str]:
         "all_regions_report": _report(CONTROL, ALL_REGIONS, COMPLAINT_REGIONS),
         "variant_by_region": _report(TARGETING, ALL_REGIONS, COMPLAINT_REGIONS),
         "sorted_report": f"{facility} SELECT finess AS {qi(LABELS['finess'])}, rs FROM facility",
-        "delimited_scan": f"SELECT {_CSV_FIELDS.format(kind='VARCHAR')} FROM customer",
-        "delimited_scan_latin1": f"SELECT {_CSV_FIELDS.format(kind='BIGINT')} FROM customer",
+        "delimited_scan": f"SELECT {_CSV_FIELDS.format(kind='VARCHAR')} AS coeur_dactivite FROM customer",
+        "delimited_scan_latin1": f"SELECT {_CSV_FIELDS.format(kind='BIGINT')} AS activite FROM customer",
         "normalise_headers": "SELECT n_nationkey AS ndeg_finessrpps, n_name AS libelle_de_letape,"
         " n_regionkey AS \"coeur_dactivite_-_2022\" FROM nation",
         "folder_tables": f"{cte(T.DEPARTMENTS, T.COMMUNES, T.TOTAL_CAPACITY, 'errd_charges')} "

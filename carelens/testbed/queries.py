@@ -415,6 +415,7 @@ def sorted_report(spark, sf_dir):
 
 # A header line as it comes: special characters, a blank header, a repeated one, double spaces, an apostrophe.
 _RAW_HEADER = "N° FINESS/RPPS;;Dont AMP;Dont AMP;Libellé  d'étape;Cœur d’activité"
+_RAW_HEADER_LATIN = "N° FINESS/RPPS;;Dont AMP;Dont AMP;Libellé  d'étape;Activité"
 
 
 def _write_lines(rows: DataFrame, path: str, header: str, encoding: str = "UTF-8") -> None:
@@ -422,26 +423,26 @@ def _write_lines(rows: DataFrame, path: str, header: str, encoding: str = "UTF-8
     rows.toDF(header).write.options(header=True, sep="\t", quote="", encoding=encoding).csv(path)
 
 
-def _customer_lines(spark: SparkSession, sf_dir: str, path: str, encoding: str) -> None:
+def _customer_lines(spark: SparkSession, sf_dir: str, path: str, header: str, encoding: str) -> None:
     lines = base_tables(spark, sf_dir)["customer"].selectExpr(
         "concat_ws(';', CAST(c_custkey AS STRING), c_mktsegment, CAST(c_nationkey AS STRING),"
         " CASE WHEN c_custkey % 7 = 0 THEN 'NA' ELSE CAST(c_custkey % 11 AS STRING) END,"
         " concat('Été n°', CAST(c_custkey % 5 AS STRING)), concat('\"', c_name, ' ; \"\"cité\"\"\"')) AS line"
     )
-    _write_lines(lines, path, _RAW_HEADER, encoding)
+    _write_lines(lines, path, header, encoding)
 
 
 @query
 def delimited_scan(spark, sf_dir):
     path = f"{scratch_dir(spark, 'scan')}/customers.csv"
-    _customer_lines(spark, sf_dir, path, "UTF-8")
+    _customer_lines(spark, sf_dir, path, _RAW_HEADER, "UTF-8")
     return delimited.read_delimited(spark, path)
 
 
 @query
 def delimited_scan_latin1(spark, sf_dir):
     path = f"{scratch_dir(spark, 'latin')}/customers.csv"
-    _customer_lines(spark, sf_dir, path, "ISO-8859-1")
+    _customer_lines(spark, sf_dir, path, _RAW_HEADER_LATIN, "ISO-8859-1")
     return delimited.read_delimited(spark, path, encoding="ISO-8859-1", infer=True)
 
 
