@@ -52,11 +52,13 @@ def latin_letters() -> tuple[str, str]:
 
 
 def slugify(text: str) -> str:
-    """The rule of ``normalise_name`` on values."""
-    result = f"lower({text})"
+    """The rule of ``normalise_name`` on values; only values with characters beyond ASCII are respelled."""
+    lowered = f"lower({text})"
+    respelled = lowered
     for char, spelling in ASCII_SPELLINGS.items():
         if re.sub(_DROPPED, "", spelling):  # spellings made of dropped characters only need no replacement
-            result = f"replace({result}, {lit(char)}, {lit(spelling)})"
+            respelled = f"replace({respelled}, {lit(char)}, {lit(spelling)})"
     source, target = latin_letters()
-    result = f"translate({result}, {lit(source)}, {lit(target)})"
-    return f"regexp_replace(regexp_replace({result}, ' +', '_'), '{_DROPPED}', '')"
+    respelled = f"translate({respelled}, {lit(source)}, {lit(target)})"
+    ascii_text = f"CASE WHEN octet_length({text}) = length({text}) THEN {lowered} ELSE {respelled} END"
+    return f"regexp_replace(regexp_replace({ascii_text}, ' +', '_'), '{_DROPPED}', '')"

@@ -85,7 +85,8 @@ def facility_finance(tables: Tables) -> DataFrame:
     classes = tables[T.CLASSES].selectExpr(named(label_key(ref(T.CLASS_LABEL)), "finess"), "cadre")
     counted = aggregate(classes.where("finess IS NOT NULL"), ["finess", "cadre"], {"n": "count(1)"})
     listed = tables[T.CLASS_DUPLICATES].selectExpr(named(label_key("finess"), "finess"))
-    kept = anti_join_when(counted, listed, "finess", f"cadre <> {lit(CLASS_ERRD)}")
+    # The count in the condition keeps the optimizer from joining before the rows are counted together.
+    kept = anti_join_when(counted, listed, "finess", f"n > 0 AND cadre <> {lit(CLASS_ERRD)}")
     routed = route_by_class(kept, finance_by_establishment(tables), keep=["n"])
     copies = repeat_rows(routed, "n", ["finess", "cadre"])
     return copies.selectExpr("finess", *[f"CAST(round({m}) AS DOUBLE) AS {m}" for m in MEASURES], "__row")

@@ -19,13 +19,17 @@ def land_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+FOLDERS = ("region_code", "nom")
+
+
 def arrange_by_region(report: DataFrame, order: str = LABELS["finess"]) -> DataFrame:
     """Rows in (region, establishment) ranges, sorted: a large region is spread over many tasks and files.
 
-    The row hash lets a range end within an establishment that has very many rows.
+    The folder columns lead, as the writer would otherwise sort again by them and lose the rest of the order.  The row
+    hash lets a range end within an establishment that has very many rows.
     """
-    rest = ", ".join(ref(c) for c in report.columns if c != order)
-    keys = [F.col("region_code"), F.col(ref(order)), F.expr(f"xxhash64({rest})")]
+    rest = ", ".join(ref(c) for c in report.columns if c not in (order, *FOLDERS))
+    keys = [*map(F.col, FOLDERS), F.col(ref(order)), F.expr(f"xxhash64({rest})")]
     return report.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
@@ -48,7 +52,7 @@ def export_report(
     for kind, report in ((TARGETING, targeting), (CONTROL, control)):
         target = f"{path}/{run_stamp(day)}/{SHEETS[kind]}"
         labelled = label_region(report, regions, "region_code").drop("ncc")
-        arrange_by_region(labelled).write.mode("overwrite").partitionBy("region_code", "nom").parquet(target)
+        arrange_by_region(labelled).write.mode("overwrite").partitionBy(*FOLDERS).parquet(target)
         written[SHEETS[kind]] = target
         if fmt == "csv":
             stored = report.sparkSession.read.parquet(target)
@@ -56,9 +60,9 @@ def export_report(
             for variant, rows in ((INCIDENTS, f"NOT coalesce({special}, false)"), (COMPLAINTS, special)):
                 layout = [LABELS[f] for f in report_fields(kind, variant)]
                 if set(layout) <= set(stored.columns):  # else no region of this variant was reported
-                    own = stored.where(rows).select("region_code", "nom", *[ref(c) for c in layout])
+                    own = stored.where(rows).select(*FOLDERS, *[ref(c) for c in layout])
                     folder = f"{target}_csv/{variant}"
-                    arranged = arrange_by_region(own).write.mode("overwrite").partitionBy("region_code", "nom")
+                    arranged = arrange_by_region(own).write.mode("overwrite").partitionBy(*FOLDERS)
                     arranged.csv(folder, header=True, sep=";")
                     written[f"{SHEETS[kind]}_{variant}"] = folder
     return written

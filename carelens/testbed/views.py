@@ -210,15 +210,21 @@ def base_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in BASE_TABLES}
 
 
-def report_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    """The named report tables (all by default) over the test tables of a folder."""
-    base = base_tables(spark, sf_dir)
+_PLANS: dict[tuple[str, str, str], DataFrame] = {}
 
-    def view(text: str) -> DataFrame:
-        used = {name: df for name, df in base.items() if "{" + name + "}" in text}
-        return spark.sql(text.replace('"', "`"), **used)
 
-    return {name: view(VIEWS[name]) for name in names or VIEWS}
+def report_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """The named report tables (all by default) over the test tables of a folder.
+
+    The frames, which are plans and hold no data, are kept per session so that their texts are analysed once.
+    """
+    session = spark.sparkContext.applicationId
+    missing = [name for name in names or VIEWS if (session, sf_dir, name) not in _PLANS]
+    base = base_tables(spark, sf_dir) if missing else {}
+    for name in missing:
+        used = {table: df for table, df in base.items() if "{" + table + "}" in VIEWS[name]}
+        _PLANS[session, sf_dir, name] = spark.sql(VIEWS[name].replace('"', "`"), **used)
+    return {name: _PLANS[session, sf_dir, name] for name in names or VIEWS}
 
 
 def cte(*names: str) -> str:

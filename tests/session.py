@@ -9,6 +9,7 @@ def session() -> SparkSession:
         .config("spark.driver.memory", "6g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.maxMetadataValueLength", "2000")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )
