@@ -1,6 +1,7 @@
 """The targeting and control reports, for one region, several, or all of them in one plan.
 
-One builder serves every report.  ``kind`` says how wide it is (targeting or control); the variant says where signals
+One builder serves every report.  ``kind`` says how wide it is: targeting, control, or both at once (the control
+report holds every targeting column but one, which is then added under its field id); the variant says where signals
 come from: the incident table, or the flagged rows of the complaint table for the regions that report them there.
 """
 
@@ -44,7 +45,7 @@ from carelens.operators.clean import clean_dashboard, clean_facility, clean_keye
 from carelens.operators.joins import anti_join_when, geo_enrich
 from carelens.operators.skew import enrich_by_key, repeat_rows, with_row_id
 
-TARGETING, CONTROL = "targeting", "control"
+TARGETING, CONTROL, BOTH = "targeting", "control", "both"
 INCIDENTS, COMPLAINTS = "incidents", "complaints"
 
 Tables = Mapping[str, DataFrame]
@@ -67,6 +68,10 @@ _INCIDENTS_ONLY = {
 _COMPLAINTS_ONLY = {"flagged"}
 
 
+# The one figure on which the two reports may differ: targeting rounds it to four digits in the complaints variant.
+_EXTERNAL_TARGETING = "external_mean_targeting"
+
+
 def report_fields(kind: str, variant: str | None = None) -> list[str]:
     """Field ids of a report in report order; without a variant, the fields of both."""
     dropped = _CONTROL_ONLY if kind == TARGETING else set()
@@ -110,7 +115,7 @@ def _source_sides(tables: Tables, kind: str) -> dict[str, DataFrame]:
     rates = {"many_drugs": "taux_plus_10_medics_cip13", "mco_rate": "taux_hospit_mco", "had_rate": "taux_hospit_had"}
     total = "somme_de_capacite_autorisee_totale_"
     occupation = {"residents": "nb_lits_occ_2022"}
-    if kind == CONTROL:
+    if kind != TARGETING:
         occupation |= {"occupancy_2022": "taux_occ_2022", "occupancy_q3": "taux_occ_trimestre3"}
     sides = {
         "capacities": clean_keyed(
@@ -133,7 +138,7 @@ def _source_sides(tables: Tables, kind: str) -> dict[str, DataFrame]:
         **{f"dashboard_{year}": _dashboard(tables, year, kind) for year in T.DASHBOARDS},
         "finance": facility_finance(tables),
     }
-    if kind == CONTROL:
+    if kind != TARGETING:
         sides |= {
             "occupation_2020": clean_keyed(tables[T.OCCUPATION_2020], "finess_19", {"occupancy_2020": "taux_occ_2020"}),
             "occupation_2021": clean_keyed(tables[T.OCCUPATION_2021], "finess", {"occupancy_2021": "taux_occ_2021"}),
@@ -155,7 +160,7 @@ def _aggregate_sides(tables: Tables, kind: str, variants: set[str]) -> dict[str,
         "inspections": inspection_counts(tables[T.MISSIONS]),
     }
     if INCIDENTS in variants:
-        natures = INCIDENT_NATURES if kind == CONTROL else ()
+        natures = INCIDENT_NATURES if kind != TARGETING else ()
         sides["incidents"] = incident_profile(tables[T.INCIDENTS], natures).selectExpr(
             "finess",
             "nb_ei AS events",
@@ -196,11 +201,10 @@ def _values(kind: str, variants: set[str], in_complaints_variant: str) -> dict[s
         by_year = {label: f"{prefix}_{rate}" for label, prefix in years.items()}
         values |= {f"{rate}_{label}": column for label, column in by_year.items()}
         values[f"{rate}_mean"] = f"round({mean_present(*by_year.values())}, 2)"
-    if kind == TARGETING and COMPLAINTS in variants:
-        finer = f"round({mean_present(*[f'{prefix}_external' for prefix in years.values()])}, 4)"
-        values["external_mean"] = (
-            f"CASE WHEN {in_complaints_variant} THEN {finer} ELSE {values['external_mean']} END"
-        )
+    finer = f"round({mean_present(*[f'{prefix}_external' for prefix in years.values()])}, 4)"
+    values[_EXTERNAL_TARGETING] = f"CASE WHEN {in_complaints_variant} THEN {finer} ELSE {values['external_mean']} END"
+    if kind == TARGETING:
+        values["external_mean"] = values.pop(_EXTERNAL_TARGETING)
     per_user = {label: f"{prefix}_fte_per_user" for label, prefix in years.items()}
     values |= {f"fte_per_user_{label}": column for label, column in per_user.items()}
     values["fte_per_user_mean"] = mean_present(*per_user.values())
@@ -247,7 +251,19 @@ def build_report(
     )
     values = _values(kind, variants, f"region_code IN ({', '.join(map(str, sorted(special))) or 'NULL'})")
     fields = report_fields(kind, variants.pop() if len(variants) == 1 else None)
-    return wide.selectExpr("region_code", *[named(values.get(f, f), LABELS[f]) for f in fields])
+    shown = [named(values.get(f, f), LABELS[f]) for f in fields]
+    if kind == BOTH:
+        shown.append(named(values[_EXTERNAL_TARGETING], _EXTERNAL_TARGETING))
+    return wide.selectExpr("region_code", *shown)
+
+
+def sheet(both: DataFrame, kind: str) -> DataFrame:
+    """One of the two reports out of rows built for both; columns beside the report's own are kept."""
+    label = LABELS["external_mean"]
+    dropped = {LABELS[f] for f in _CONTROL_ONLY} if kind == TARGETING else set()
+    taken = _EXTERNAL_TARGETING if kind == TARGETING else label
+    kept = [c for c in both.columns if c not in dropped and c != _EXTERNAL_TARGETING]
+    return both.selectExpr(*[named(ref(taken if c == label else c), c) for c in kept])
 
 
 def sorted_report(report: DataFrame) -> DataFrame:
@@ -286,7 +302,10 @@ def all_regions_report(
     complaint_regions: Iterable[int] = COMPLAINT_VARIANT_REGIONS,
     skew_check: str = "auto",
 ) -> DataFrame:
-    """Every configured region in one plan: each source is read, aggregated and joined once."""
+    """Every configured region in one plan: each source is read, aggregated and joined once.
+
+    With kind ``both`` that holds for the two reports together; ``sheet`` takes each out.
+    """
     return build_report(tables, kind, region_codes, complaint_regions, skew_check)
 
 

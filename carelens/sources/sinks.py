@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from carelens.fixed_values import COMPLAINT_VARIANT_REGIONS, LABELS
 from carelens.functions.dates import run_stamp
 from carelens.functions.keys import ref
-from carelens.plans.reports import COMPLAINTS, CONTROL, INCIDENTS, TARGETING, report_fields
+from carelens.plans.reports import COMPLAINTS, CONTROL, INCIDENTS, TARGETING, report_fields, sheet
 from carelens.sources.regions import label_region
 
 SHEETS = {TARGETING: "ciblage", CONTROL: "controle"}
@@ -33,36 +33,41 @@ def arrange_by_region(report: DataFrame, order: str = LABELS["finess"]) -> DataF
     return report.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
+def _write(rows: DataFrame, folder: str) -> DataFrame:
+    rows.write.mode("overwrite").partitionBy(*FOLDERS).parquet(folder)
+    return rows.sparkSession.read.parquet(folder)
+
+
 def export_report(
-    targeting: DataFrame,
-    control: DataFrame,
+    both: DataFrame,
     path: str,
     regions: DataFrame,
     day: dt.date,
     fmt: str = "parquet",
     complaint_regions: tuple[int, ...] = COMPLAINT_VARIANT_REGIONS,
 ) -> dict[str, str]:
-    """Write both reports of every region; returns the folder of each sheet.
+    """Write both reports of every region, from rows built for both; returns the folder of each sheet.
 
     ``{path}/{ddmmyyyy}/{sheet}/region_code=…/nom=…`` holds one region, each file a sorted run of establishments.
-    Each report is computed once into Parquet.  For ``csv`` the regions are then written out from it under the columns
-    of their own variant, in ``{sheet}_csv/{variant}``.
+    The rows are computed once, into ``{path}/{ddmmyyyy}/both``, and the sheets are cut from there.  ``csv`` gives each
+    region the columns of its own variant, in ``{sheet}_csv/{variant}``.
     """
+    root = f"{path}/{run_stamp(day)}"
+    stored = _write(arrange_by_region(label_region(both, regions, "region_code").drop("ncc")), f"{root}/both")
+    special = f"coalesce(region_code IN ({', '.join(map(str, complaint_regions)) or 'NULL'}), false)"
     written = {}
-    for kind, report in ((TARGETING, targeting), (CONTROL, control)):
-        target = f"{path}/{run_stamp(day)}/{SHEETS[kind]}"
-        labelled = label_region(report, regions, "region_code").drop("ncc")
-        arrange_by_region(labelled).write.mode("overwrite").partitionBy(*FOLDERS).parquet(target)
-        written[SHEETS[kind]] = target
-        if fmt == "csv":
-            stored = report.sparkSession.read.parquet(target)
-            special = f"region_code IN ({', '.join(map(str, complaint_regions)) or 'NULL'})"
-            for variant, rows in ((INCIDENTS, f"NOT coalesce({special}, false)"), (COMPLAINTS, special)):
-                layout = [LABELS[f] for f in report_fields(kind, variant)]
-                if set(layout) <= set(stored.columns):  # else no region of this variant was reported
-                    own = stored.where(rows).select(*FOLDERS, *[ref(c) for c in layout])
-                    folder = f"{target}_csv/{variant}"
-                    arranged = arrange_by_region(own).write.mode("overwrite").partitionBy(*FOLDERS)
-                    arranged.csv(folder, header=True, sep=";")
-                    written[f"{SHEETS[kind]}_{variant}"] = folder
+    for kind, name in SHEETS.items():
+        rows = arrange_by_region(sheet(stored, kind))
+        if fmt == "parquet":
+            written[name] = f"{root}/{name}"
+            _write(rows, written[name])
+            continue
+        for variant, own in ((INCIDENTS, f"NOT {special}"), (COMPLAINTS, special)):
+            layout = [LABELS[f] for f in report_fields(kind, variant)]
+            if set(layout) <= set(rows.columns):  # else no region of this variant was reported
+                written[f"{name}_{variant}"] = f"{root}/{name}_csv/{variant}"
+                shown = rows.where(own).select(*FOLDERS, *map(ref, layout))
+                shown.write.mode("overwrite").partitionBy(*FOLDERS).csv(
+                    written[f"{name}_{variant}"], header=True, sep=";"
+                )
     return written

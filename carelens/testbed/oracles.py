@@ -376,7 +376,7 @@ _FACILITY_CAPACITY = " + ".join(
         "total_accueil_de_nuit_places_autorisees",
     )
 )
-_SHOWN = ["region", "finess", "capacity", "charges", "complaints", "all_events", "flagged", "inspections_done"]
+_SHOWN = ["region", "finess", "capacity", "charges", "complaints", "all_events", "flagged", "inspections_done", "external_mean"]
 _REGION_ROWS = ", ".join(f"({code}, {q(ncc)}, {q(nom)})" for code, ncc, nom in REGIONS)
 
 

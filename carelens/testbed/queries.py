@@ -500,11 +500,11 @@ def label_region(spark, sf_dir):
 @query
 def region_partitioned_export(spark, sf_dir):
     t = report_tables(spark, sf_dir)
-    reports = [R.all_regions_report(t, kind, ALL_REGIONS, COMPLAINT_REGIONS) for kind in (R.TARGETING, R.CONTROL)]
+    both = R.all_regions_report(t, R.BOTH, ALL_REGIONS, COMPLAINT_REGIONS)
     written = sinks.export_report(
-        *reports, scratch_dir(spark, "export"), regions.configured_regions(spark), RUN_DAY, complaint_regions=COMPLAINT_REGIONS
+        both, scratch_dir(spark, "export"), regions.configured_regions(spark), RUN_DAY, complaint_regions=COMPLAINT_REGIONS
     )
-    shown = ["region", "finess", "capacity", "charges", "complaints", "all_events", "flagged", "inspections_done"]
+    shown = ["region", "finess", "capacity", "charges", "complaints", "all_events", "flagged", "inspections_done", "external_mean"]
     return delimited.concat_sources([
         spark.read.parquet(path).selectExpr(f"'{sheet}' AS sheet", "region_code", "nom", *[named(ref(LABELS[f]), f) for f in shown])
         for sheet, path in written.items()

@@ -45,7 +45,7 @@ def test_each_table_is_read_once(stored, shuffled, variant):
     text = plan(R.control_report(stored, 2, variant))
     assert scans(text, "ndeg_finessrpps") == 1
     assert scans(text, "identifiant_de_la_mission") == 1
-    assert scans(text, "adresse_nom_voie") == 1
+    assert scans(text, "categ_lib") == 1
     assert scans(text, "finess_geographique") == len(T.DASHBOARDS)
     assert scans(text, "declarant_organismendeg_finess") == (1 if variant == R.INCIDENTS else 0)
 

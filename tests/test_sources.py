@@ -95,28 +95,29 @@ def test_region_configuration(spark, tmp_path):
 
 @pytest.fixture(scope="module")
 def exported(spark, tmp_path_factory):
-    tables = report_tables(spark, "/root/testdata/sf0.001")
-    reports = {k: R.all_regions_report(tables, k, range(5), (3,)) for k in (R.TARGETING, R.CONTROL)}
+    both = R.all_regions_report(report_tables(spark, "/root/testdata/sf0.001"), R.BOTH, range(5), (3,))
+    names, day = regions.configured_regions(spark), dt.date(2024, 1, 31)
     folder = str(tmp_path_factory.mktemp("export"))
-    written = sinks.export_report(
-        *reports.values(), folder, regions.configured_regions(spark), dt.date(2024, 1, 31), "csv", (3,)
-    )
-    return reports, written
+    return {
+        **sinks.export_report(both, folder, names, day, "parquet", (3,)),
+        **sinks.export_report(both, folder, names, day, "csv", (3,)),
+    }
 
 
 def test_export_holds_every_row_of_every_region(spark, exported):
-    reports, written = exported
-    for kind, sheet in sinks.SHEETS.items():
-        stored = spark.read.parquet(written[sheet])
-        assert stored.count() == reports[kind].count() > 0
-        assert "/31012024/" in written[sheet]
-        own = spark.read.parquet(f"{written[sheet]}/region_code=1/nom=GUAD")
-        assert own.count() == reports[kind].where("region_code = 1").count() > 0
+    tables = report_tables(spark, "/root/testdata/sf0.001")
+    for kind, name in sinks.SHEETS.items():
+        report = R.all_regions_report(tables, kind, range(5), (3,))
+        stored = spark.read.parquet(exported[name])
+        assert set(stored.columns) == {*report.columns, "nom"}
+        assert sorted(map(repr, stored.select(*map(ref, report.columns)).collect())) == sorted(map(repr, report.collect()))
+        assert "/31012024/" in exported[name]
+        own = spark.read.parquet(f"{exported[name]}/region_code=1/nom=GUAD")
+        assert own.count() == report.where("region_code = 1").count() > 0
 
 
 def test_exported_files_are_sorted(spark, exported):
-    _, written = exported
-    numbers = spark.read.parquet(written["ciblage"]).selectExpr(
+    numbers = spark.read.parquet(exported["ciblage"]).selectExpr(
         "input_file_name() AS file", "monotonically_increasing_id() AS i", f"{ref(LABELS['finess'])} AS finess"
     )
     by_file = {}
@@ -126,10 +127,9 @@ def test_exported_files_are_sorted(spark, exported):
 
 
 def test_csv_of_each_variant_has_its_own_columns(spark, exported):
-    _, written = exported
     for variant, width in ((R.INCIDENTS, 127), (R.COMPLAINTS, 107)):
-        df = spark.read.csv(written[f"controle_{variant}"], header=True, sep=";")
+        df = spark.read.csv(exported[f"controle_{variant}"], header=True, sep=";")
         assert len(df.columns) == width + 2 and df.count() > 0
         assert {r[0] for r in df.select("region_code").distinct().collect()} <= (
-            {"3"} if variant == R.COMPLAINTS else {"0", "1", "2", "4"}
+            {3} if variant == R.COMPLAINTS else {0, 1, 2, 4}
         )
