@@ -42,6 +42,14 @@ def establishment_key(key: str, kind: str = "string") -> str:
     return _padded_key(key, kind, 8)
 
 
+def never_null(key: str) -> str:
+    """A key made from columns known to be present, told to the optimizer as such.
+
+    Joins then ask the scan for the raw column to be present, instead of evaluating the whole key to test it.
+    """
+    return f"coalesce({key}, '')"
+
+
 def commune_key(key: str, kind: str = "string") -> str:
     """Canonical 5-character commune code."""
     return _padded_key(key, kind, 4)

@@ -26,7 +26,7 @@ from carelens.fixed_values import (
     YES,
 )
 from carelens.functions.dates import parse_dmy
-from carelens.functions.keys import establishment_key, label_key, lit, named, ref, resolve_incident_key
+from carelens.functions.keys import establishment_key, label_key, lit, named, never_null, ref, resolve_incident_key
 from carelens.functions.text import contains_lowered
 from carelens.operators.clean import date_from, is_complaint, is_flagged, is_incident
 from carelens.tables import FINANCE_LABEL, FINANCE_SOURCES
@@ -73,7 +73,7 @@ def complaint_profile(
     """
     counted, flagged = is_complaint(ref(key), ref(flag)), is_flagged(ref(key), ref(flag))
     rows = complaints.where(f"{counted} OR {flagged}").selectExpr(
-        named(establishment_key(ref(key)), "finess"), named(counted, "counted"), f"lower({ref(text)}) AS text"
+        named(never_null(establishment_key(ref(key))), "finess"), named(counted, "counted"), f"lower({ref(text)}) AS text"
     )
     figures = {
         "nb_recla": "sum(CASE WHEN counted THEN 1 END)",
@@ -85,10 +85,17 @@ def complaint_profile(
     return aggregate(rows, ["finess"], figures)
 
 
-def select_incidents(incidents: DataFrame) -> DataFrame:
-    """Incidents (complaints left out) under the establishment they belong to, with the three event kinds marked."""
-    key = resolve_incident_key("declarant_organismendeg_finess", "survenue_du_cas_en_collectivitendeg_finess")
-    return incidents.where(is_incident("reclamation")).selectExpr(
+def select_incidents(incidents: DataFrame, placed: bool = False) -> DataFrame:
+    """Incidents (complaints left out) under the establishment they belong to, with the three event kinds marked.
+
+    With ``placed`` those naming no establishment are left out too.
+    """
+    declarant, location = "declarant_organismendeg_finess", "survenue_du_cas_en_collectivitendeg_finess"
+    key = resolve_incident_key(declarant, location)
+    rows = incidents.where(is_incident("reclamation"))
+    if placed:
+        rows, key = rows.where(f"{declarant} IS NOT NULL OR {location} IS NOT NULL"), never_null(key)
+    return rows.selectExpr(
         named(key, "finess"),
         f"(famille_principale = {lit(FAMILY_EVENT)} AND ceci_est_un_eigs = {lit(NO)}) AS is_event",
         f"(ceci_est_un_eigs = {lit(YES)}) AS is_serious",
@@ -97,7 +104,9 @@ def select_incidents(incidents: DataFrame) -> DataFrame:
     )
 
 
-def incident_profile(incidents: DataFrame, natures: Iterable[str] = INCIDENT_NATURES) -> DataFrame:
+def incident_profile(
+    incidents: DataFrame, natures: Iterable[str] = INCIDENT_NATURES, placed: bool = False
+) -> DataFrame:
     """Incident counts per establishment, in total, by kind, and by nature among the three kinds.
 
     The kinds exclude each other, so the sum over kinds is the count of rows of any kind.
@@ -111,7 +120,7 @@ def incident_profile(incidents: DataFrame, natures: Iterable[str] = INCIDENT_NAT
         "nb_events": count_where(any_kind),
         **{n: count_where(f"{any_kind} AND nature = {lit(n)}") for n in natures},
     }
-    return aggregate(select_incidents(incidents), ["finess"], figures)
+    return aggregate(select_incidents(incidents, placed), ["finess"], figures)
 
 
 def incident_counts(incidents: DataFrame) -> DataFrame:
@@ -128,11 +137,13 @@ def grouped_sum(rows: DataFrame, label: str, value: str, alias: str = "total") -
     return aggregate(keyed, ["finess"], {alias: "sum(value)"})
 
 
-def _finance_rows(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """All finance tables as one long frame: establishment, class, measure, value."""
+def _finance_rows(tables: Mapping[str, DataFrame], labelled: bool = False) -> DataFrame:
+    """All finance tables as one long frame: establishment, class, measure, value; ``labelled`` rows only, or all."""
+    label = ref(FINANCE_LABEL)
+    key = never_null(label_key(label)) if labelled else label_key(label)
     parts = [
-        tables[table].selectExpr(
-            named(label_key(ref(FINANCE_LABEL)), "finess"),
+        tables[table].where(f"{label} IS NOT NULL" if labelled else "true").selectExpr(
+            named(key, "finess"),
             f"{lit(cadre)} AS cadre",
             f"{lit(measure)} AS measure",
             f"{ref(value)} AS value",
@@ -161,7 +172,7 @@ def finance_by_establishment(tables: Mapping[str, DataFrame]) -> DataFrame:
         _slot(cadre, measure): f"sum(CASE WHEN cadre = {lit(cadre)} AND measure = {lit(measure)} THEN value END)"
         for _, cadre, measure, _ in FINANCE_SOURCES
     }
-    return aggregate(_finance_rows(tables), ["finess"], sums)
+    return aggregate(_finance_rows(tables, labelled=True), ["finess"], sums)
 
 
 def route_by_class(classes: DataFrame, finance: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -184,7 +195,7 @@ def route_by_class(classes: DataFrame, finance: DataFrame, keep: Sequence[str] =
 def distinct_missions(missions: DataFrame, first: str = INSPECTIONS_FROM) -> DataFrame:
     """Missions with a real visit on or after ``first``, each kept once."""
     kept = missions.where(f"code_finess IS NOT NULL AND {date_from('date_reelle_visite', first)}").selectExpr(
-        named(establishment_key("code_finess"), "finess"),
+        named(never_null(establishment_key("code_finess")), "finess"),
         "identifiant_de_la_mission",
         "date_provisoire_visite",
         "date_reelle_visite",

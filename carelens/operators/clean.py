@@ -14,7 +14,7 @@ from carelens.fixed_values import (
     YES,
 )
 from carelens.functions.dates import parse_dmy
-from carelens.functions.keys import commune_key, establishment_key, lit, named, pad_code, ref
+from carelens.functions.keys import commune_key, establishment_key, lit, named, never_null, pad_code, ref
 from carelens.functions.numbers import decimal_comma, lenient_int, null_strict_sum, rounded_ratio
 from carelens.functions.text import address_line
 
@@ -72,13 +72,21 @@ def clean_facility(register: DataFrame, codes: Iterable[int] = CATEGORY_CODES) -
     )
 
 
-def clean_keyed(df: DataFrame, key: str, columns: Mapping[str, str] | None = None) -> DataFrame:
-    """Canonical establishment key as ``finess`` plus the named expressions (all other columns if none is named)."""
+def clean_keyed(
+    df: DataFrame, key: str, columns: Mapping[str, str] | None = None, present: bool = False
+) -> DataFrame:
+    """Canonical establishment key as ``finess`` plus the named expressions (all other columns if none is named).
+
+    With ``present`` rows without a key, which no join can match, are left out.
+    """
     kept = [named(e, n) for n, e in columns.items()] if columns else [ref(c) for c in df.columns if c != key]
-    return df.selectExpr(named(establishment_key(ref(key), kinds_of(df)[key]), "finess"), *kept)
+    finess = establishment_key(ref(key), kinds_of(df)[key])
+    if present:
+        df, finess = df.where(f"{ref(key)} IS NOT NULL"), never_null(finess)
+    return df.selectExpr(named(finess, "finess"), *kept)
 
 
-def clean_dashboard(df: DataFrame, detail: bool = False) -> DataFrame:
+def clean_dashboard(df: DataFrame, detail: bool = False, present: bool = False) -> DataFrame:
     """Yearly staffing dashboard: rates, staff total and staff per user; with ``detail`` every staffing column.
 
     Numbers are computed here, before any join, so a year without detail carries few columns through a shuffle.
@@ -92,5 +100,5 @@ def clean_dashboard(df: DataFrame, detail: bool = False) -> DataFrame:
         "care_fte_per_user": rounded_ratio("(fte_paramedical + fte_medical)", "persons"),
     }
     kept = [*sources, *derived] if detail else [*DASHBOARD_RATES, "fte_total", "fte_per_user"]
-    typed = clean_keyed(df, "finess_geographique", numbers)
+    typed = clean_keyed(df, "finess_geographique", numbers, present)
     return typed.selectExpr("finess", *[named(derived[f], f) if f in derived else f for f in kept])

@@ -23,7 +23,7 @@ from carelens.fixed_values import (
     REPORTED_MOTIFS,
     SUMMED_CAPACITY_CATEGORY,
 )
-from carelens.functions.keys import label_key, lit, named, ref
+from carelens.functions.keys import label_key, lit, named, never_null, ref
 from carelens.functions.numbers import (
     capacity_by_category,
     complaint_rate,
@@ -87,9 +87,11 @@ def facility_finance(tables: Tables) -> DataFrame:
 
     Equal class rows travel as one row with a count and are multiplied again after the joins.
     """
-    classes = tables[T.CLASSES].selectExpr(named(label_key(ref(T.CLASS_LABEL)), "finess"), "cadre")
-    counted = aggregate(classes.where("finess IS NOT NULL"), ["finess", "cadre"], {"n": "count(1)"})
-    listed = tables[T.CLASS_DUPLICATES].selectExpr(named(label_key("finess"), "finess"))
+    labelled = tables[T.CLASSES].where(f"{ref(T.CLASS_LABEL)} IS NOT NULL")
+    classes = labelled.selectExpr(named(never_null(label_key(ref(T.CLASS_LABEL))), "finess"), "cadre")
+    counted = aggregate(classes, ["finess", "cadre"], {"n": "count(1)"})
+    listed = tables[T.CLASS_DUPLICATES].where("finess IS NOT NULL")
+    listed = listed.selectExpr(named(never_null(label_key("finess")), "finess"))
     # The count in the condition keeps the optimizer from joining before the rows are counted together.
     kept = anti_join_when(counted, listed, "finess", f"n > 0 AND cadre <> {lit(CLASS_ERRD)}")
     routed = route_by_class(kept, finance_by_establishment(tables), keep=["n"])
@@ -98,7 +100,7 @@ def facility_finance(tables: Tables) -> DataFrame:
 
 
 def _dashboard(tables: Tables, year: int, kind: str) -> DataFrame:
-    wide = clean_dashboard(tables[T.DASHBOARDS[year]], detail=year == 2022)
+    wide = clean_dashboard(tables[T.DASHBOARDS[year]], detail=year == 2022, present=True)
     unused = _CONTROL_ONLY - {*DASHBOARD_FTE} if kind == TARGETING else set()
     kept = [c for c in wide.columns if c != "finess" and c not in unused]
     return wide.selectExpr("finess", *[f"{c} AS y{year}_{c}" for c in kept])
@@ -117,21 +119,25 @@ def _source_sides(tables: Tables, kind: str) -> dict[str, DataFrame]:
     occupation = {"residents": "nb_lits_occ_2022"}
     if kind != TARGETING:
         occupation |= {"occupancy_2022": "taux_occ_2022", "occupancy_q3": "taux_occ_trimestre3"}
+
+    def keyed(table: str, key: str, columns: Mapping[str, str]) -> DataFrame:
+        return clean_keyed(tables[table], key, columns, present=True)
+
     sides = {
-        "capacities": clean_keyed(
-            tables[T.CAPACITIES],
+        "capacities": keyed(
+            T.CAPACITIES,
             "et-ndegfiness",
             {field: lenient_int(c, kinds[T.CAPACITIES][c]) for field, c in capacities.items()},
         ),
-        "total_capacity": clean_keyed(
-            tables[T.TOTAL_CAPACITY],
+        "total_capacity": keyed(
+            T.TOTAL_CAPACITY,
             "etiquettes_de_lignes",
             {"capacity_total": decimal_comma(total, kinds[T.TOTAL_CAPACITY][total])},
         ),
-        "occupation_2022": clean_keyed(tables[T.OCCUPATION_2022], "finess", occupation),
-        "dependency": clean_keyed(tables[T.DEPENDENCY], "finess_et", {"gmp": "round(gmp)", "pmp": "round(pmp)"}),
-        "indicators": clean_keyed(
-            tables[T.INDICATORS],
+        "occupation_2022": keyed(T.OCCUPATION_2022, "finess", occupation),
+        "dependency": keyed(T.DEPENDENCY, "finess_et", {"gmp": "round(gmp)", "pmp": "round(pmp)"}),
+        "indicators": keyed(
+            T.INDICATORS,
             "et_finess",
             {field: decimal_comma(c, kinds[T.INDICATORS][c]) for field, c in rates.items()},
         ),
@@ -140,9 +146,9 @@ def _source_sides(tables: Tables, kind: str) -> dict[str, DataFrame]:
     }
     if kind != TARGETING:
         sides |= {
-            "occupation_2020": clean_keyed(tables[T.OCCUPATION_2020], "finess_19", {"occupancy_2020": "taux_occ_2020"}),
-            "occupation_2021": clean_keyed(tables[T.OCCUPATION_2021], "finess", {"occupancy_2021": "taux_occ_2021"}),
-            "lodging": clean_keyed(tables[T.LODGING], "finesset", {"day_price": "prixhebpermcs"}),
+            "occupation_2020": keyed(T.OCCUPATION_2020, "finess_19", {"occupancy_2020": "taux_occ_2020"}),
+            "occupation_2021": keyed(T.OCCUPATION_2021, "finess", {"occupancy_2021": "taux_occ_2021"}),
+            "lodging": keyed(T.LODGING, "finesset", {"day_price": "prixhebpermcs"}),
         }
     return sides
 
@@ -161,7 +167,7 @@ def _aggregate_sides(tables: Tables, kind: str, variants: set[str]) -> dict[str,
     }
     if INCIDENTS in variants:
         natures = INCIDENT_NATURES if kind != TARGETING else ()
-        sides["incidents"] = incident_profile(tables[T.INCIDENTS], natures).selectExpr(
+        sides["incidents"] = incident_profile(tables[T.INCIDENTS], natures, placed=True).selectExpr(
             "finess",
             "nb_ei AS events",
             "nb_eigs AS serious_events",

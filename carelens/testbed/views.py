@@ -25,21 +25,19 @@ def q(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+def bare_key(n: str) -> str:
+    """8 characters for every fifth number (a zero was lost), 9 otherwise."""
+    return f"CAST(10000000 + {n} + 90000000 * least({n} % 5, 1) AS STRING)"
+
+
 def raw_key(n: str) -> str:
-    """Identifier of number ``n`` as a source file might hold it."""
-    return (
-        f"CASE WHEN {n} % 10 = 0 THEN CAST(10000000 + {n} AS STRING)"
-        f" WHEN {n} % 10 = 5 THEN CAST(10000000 + {n} AS STRING) || '.0'"
-        f" ELSE CAST(100000000 + {n} AS STRING) END"
-    )
+    """Identifier of number ``n`` as a source file might hold it: now and then with a ``.0`` tail."""
+    return f"{bare_key(n)} || substr('.0', 1, CAST(2 * greatest(1 - abs({n} % 10 - 5), 0) AS INT))"
 
 
 def full_key(n: str) -> str:
     """The canonical form of ``raw_key``."""
-    return (
-        f"CASE WHEN {n} % 5 = 0 THEN '0' || CAST(10000000 + {n} AS STRING)"
-        f" ELSE CAST(100000000 + {n} AS STRING) END"
-    )
+    return f"lpad({bare_key(n)}, 9, '0')"
 
 
 def commune_code(n: str) -> str:
