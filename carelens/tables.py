@@ -68,7 +68,8 @@ def _finance(value: str) -> Schema:
     return {FINANCE_LABEL: "string", value: "decimal(18,2)"}
 
 
-# Column kinds: string, int, double, decimal(p,s).  Money is decimal so that sums are exact and do not depend on the order rows arrive in.
+# Column kinds: string, int, double, decimal(p,s).  Money is decimal, so that sums are exact and do not depend on the
+# order rows arrive in.
 SCHEMAS: dict[str, Schema] = {
     FACILITIES: _columns(
         string="finess categ_lib rs ej_finess ej_rs statut_jur_lib adresse_num_voie adresse_comp_voie"
