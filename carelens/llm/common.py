@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,14 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 2 << 20
 
 
+def on_workers(spark: SparkSession) -> SparkSession:
+    """Lets Python workers import this package from where the driver has it, if they don't find it anyway."""
+    root, there = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    if root not in there.get("PYTHONPATH", "").split(os.pathsep):
+        there["PYTHONPATH"] = os.pathsep.join(filter(None, [there.get("PYTHONPATH", ""), root]))
+    return spark
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder that driver and executors share.
 

@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from carelens.llm.common import on_workers
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return on_workers(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _vocabulary(name: str) -> str:
