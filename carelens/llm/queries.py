@@ -37,6 +37,12 @@ def op6_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digest(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
 
 
+def op9_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.shingle_join import shingle_components
+
+    return shingle_components(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
