@@ -8,11 +8,12 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that are hashed at once; one longer text makes a chunk of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def on_workers(spark: SparkSession) -> SparkSession:
@@ -47,6 +48,13 @@ def whole_text(column: str = "text") -> "F.Column":
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches: what Python makes of a batch stays small."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def chunks(texts: list[bytes], limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of consecutive texts of about ``limit`` bytes."""
     start, size = 0, 0
@@ -120,7 +128,7 @@ class WordMemo:
     kept; then it starts afresh.
     """
 
-    def __init__(self, code, limit: int = 1 << 21) -> None:
+    def __init__(self, code, limit: int = 1 << 20) -> None:
         self.code, self.limit, self.rolling = code, limit, Rolling(3)
         self._clear()
 

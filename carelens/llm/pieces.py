@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import WordMemo, chunks, exploded, whole_text
+from carelens.llm.common import WordMemo, chunks, exploded, slices, whole_text
 
 MARKER = "▁"
 #: What a character outside the vocabulary costs beyond the lowest score.
@@ -234,7 +234,7 @@ def encode_column(docs: DataFrame, path: str, text: str = "text", ids: str = "id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unigram, memo = model(path)
-        for batch in batches:
+        for batch in slices(batches):
             raw = [unigram.prepared(t or "") for t in batch.column(place).to_pylist()]
             for a, b in chunks(raw):
                 codes, counts = memo.encode(raw[a:b])
@@ -253,14 +253,12 @@ def decode_column(docs: DataFrame, path: str, ids: str = "ids", text: str = "dec
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unigram, _ = model(path)
-        for whole in batches:
-            for first in range(0, whole.num_rows, 256):
-                batch = whole.slice(first, 256)
-                lists = batch.column(place)
-                counts = np.array([len(x) if x is not None else 0 for x in lists], np.int64)
-                codes = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-                texts = [x.decode("utf-8", "replace") for x in unigram.decode(codes, counts)]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*docs.columns, text])
+        for batch in slices(batches):
+            lists = batch.column(place)
+            counts = np.array([len(x) if x is not None else 0 for x in lists], np.int64)
+            codes = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            texts = [x.decode("utf-8", "replace") for x in unigram.decode(codes, counts)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*docs.columns, text])
 
     return docs.mapInArrow(run, docs.schema.add(text, "string"))
 
@@ -282,7 +280,7 @@ def piece_digest(docs: DataFrame, path: str) -> DataFrame:
         is_byte[unigram.words.byte_ids] = 1
         # Of an unknown character's bytes the first carries its score.
         score = np.where(is_byte == 1, 0.0, unigram.words.scores)
-        for batch in batches:
+        for batch in slices(batches):
             raw = [unigram.prepared(t) for t in batch.column(1).to_pylist()]
             for a, b in chunks(raw):
                 codes, counts = memo.encode(raw[a:b])

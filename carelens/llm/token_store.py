@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelens.llm.common import WordMemo, chunks, partitions, scratch, whole_text
+from carelens.llm.common import WordMemo, chunks, partitions, scratch, slices, whole_text
 
 STORED = "doc_id bigint, part int, start_in_part bigint, n_tokens bigint, ids array<int>"
 _coders: dict[str, WordMemo] = {}
@@ -34,8 +34,11 @@ def coder(path: str):
         library = Tokenizer.from_file(path)
 
         def words(new: list[bytes]) -> list[np.ndarray]:
-            coded = library.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)
-            return [np.array(e.ids, np.int32) for e in coded]
+            out: list[np.ndarray] = []
+            for k in range(0, len(new), 2000):
+                coded = library.encode_batch_fast([w.decode("utf-8") for w in new[k : k + 2000]], add_special_tokens=False)
+                out += [np.array(e.ids, np.int32) for e in coded]
+            return out
 
         _coders[path] = WordMemo(words)
     memo = _coders[path]
@@ -51,7 +54,7 @@ def coder(path: str):
 def _encoded(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, upto = coder(path), TaskContext.get().partitionId(), 0
-        for batch in batches:
+        for batch in slices(batches):
             doc_ids, texts = batch.column(0), batch.column(1).to_pylist()
             for first, ids, counts in encode(texts):
                 n = len(counts)
@@ -96,25 +99,28 @@ def write_tokens(
     )
 
 
+def starts(stored: DataFrame) -> DataFrame:
+    """(part, before): the ids in all parts before; a row per file, so it is small and may be broadcast."""
+    sizes = stored.groupBy("part").agg(F.sum("n_tokens").alias("in_part"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select("part", F.coalesce(F.sum("in_part").over(before), F.lit(0)).alias("before"))
+
+
 def read_tokens(spark, path: str) -> DataFrame:
     """What was written, with ``start``: the ids of all documents before, counted over the files' parts."""
     stored = spark.read.schema(STORED).parquet(path)
-    sizes = stored.groupBy("part").agg(F.sum("n_tokens").alias("in_part"))  # a row per file
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = sizes.select("part", F.coalesce(F.sum("in_part").over(before), F.lit(0)).alias("before"))
-    return stored.join(sizes, "part").select(
-        "doc_id", (F.col("before") + F.col("start_in_part")).alias("start"), "n_tokens", "ids"
-    )
+    start = (F.col("before") + F.col("start_in_part")).alias("start")
+    return stored.join(F.broadcast(starts(stored)), "part").select("doc_id", start, "n_tokens", "ids")
 
 
 def with_checksums(tokens: DataFrame) -> DataFrame:
     """Replaces ``ids`` by the CRC-32 of the ids as little-endian unsigned 32-bit integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             lists = batch.column(3)
-            values = lists.values.to_numpy(zero_copy_only=False).astype("<u4")
-            offsets = lists.offsets.to_pylist()
+            values = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4")
+            offsets = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).tolist()
             sums = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(offsets, offsets[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"]
