@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from carelens.llm.common import scratch
 
 BUCKET_BYTES = 16 << 20
+#: The table of bucket sizes is broadcast up to this many buckets (24 bytes each), else joined by a shuffle.
+BROADCAST_BUCKETS = 500_000
 
 
 def fisher_yates(n: int, rng: np.random.Generator) -> np.ndarray:
@@ -69,6 +71,8 @@ def write_shards(
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"),
         F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_all"),
     )
+    if n_buckets <= BROADCAST_BUCKETS:
+        sizes = F.broadcast(sizes)
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
     schema = ", ".join([*fields, "_bucket bigint", "_place bigint"])
     shuffled = scattered.groupBy("_bucket").applyInPandas(_shuffled(seed), schema)
