@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from carelens.llm.common import WordMemo, chunks, exploded, slices, whole_text
 
@@ -230,7 +231,8 @@ def model(path: str) -> tuple[Unigram, WordMemo]:
 def encode_column(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Adds ``ids``, the pieces of each whole text (NULL: none).  A column of that name is replaced."""
     docs = docs.drop(ids)
-    place = docs.columns.index(text)
+    names = docs.columns
+    place = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unigram, memo = model(path)
@@ -241,15 +243,16 @@ def encode_column(docs: DataFrame, path: str, text: str = "text", ids: str = "id
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(codes.astype(np.int32)))
                 part = batch.slice(a, b - a)
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*docs.columns, ids])
+                yield pa.RecordBatch.from_arrays([*part.columns, lists], names=[*names, ids])
 
-    return docs.mapInArrow(run, docs.schema.add(ids, "array<int>"))
+    return docs.mapInArrow(run, StructType([*docs.schema, StructField(ids, ArrayType(IntegerType()))]))
 
 
 def decode_column(docs: DataFrame, path: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
     """Adds ``text``, the text of ``ids`` (NULL: empty); bytes that are no UTF-8 become replacement characters."""
     docs = docs.drop(text)
-    place = docs.columns.index(ids)
+    names = docs.columns
+    place = names.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unigram, _ = model(path)
@@ -258,9 +261,9 @@ def decode_column(docs: DataFrame, path: str, ids: str = "ids", text: str = "dec
             counts = np.array([len(x) if x is not None else 0 for x in lists], np.int64)
             codes = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             texts = [x.decode("utf-8", "replace") for x in unigram.decode(codes, counts)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*docs.columns, text])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*names, text])
 
-    return docs.mapInArrow(run, docs.schema.add(text, "string"))
+    return docs.mapInArrow(run, StructType([*docs.schema, StructField(text, StringType())]))
 
 
 def piece_digest(docs: DataFrame, path: str) -> DataFrame:

@@ -19,6 +19,12 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.suffix_dedup import removal_digest
+
+    return removal_digest(_table(spark, sf_dir, "documents"))
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carelens.llm.token_store import token_digest
 
