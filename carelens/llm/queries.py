@@ -43,6 +43,12 @@ def op6_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digest(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
 
 
+def op8_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.range_join import cosine_links
+
+    return cosine_links(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carelens.llm.shingle_join import shingle_components
 
