@@ -31,6 +31,12 @@ def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
 
 
+def op4_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.quotes import conversations
+
+    return conversations(_table(spark, sf_dir, "conversations"))
+
+
 def op5_two_pass_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carelens.llm.shards import shard_digest
 
@@ -55,6 +61,12 @@ def op9_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_components(_table(spark, sf_dir, "documents"))
 
 
+def op10_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.decontaminate import leak_digest
+
+    return leak_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
