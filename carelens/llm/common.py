@@ -89,7 +89,7 @@ class Rolling:
     def __init__(self, seed: int = 1) -> None:
         rng = np.random.default_rng(seed)
         self.values = rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.base = int(rng.integers(1, 2**62)) * 8 + 5
+        self.base = (int(rng.integers(1, 2**62)) * 8 + 5) % 2**64
         self.inverse = pow(self.base, -1, 2**64)
         self.up = self.down = np.ones(1, np.uint64)
 

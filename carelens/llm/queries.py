@@ -25,6 +25,12 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digest(_table(spark, sf_dir, "documents"))
 
 
+def op2_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.html_wrapper import main_texts
+
+    return main_texts(_table(spark, sf_dir, "pages"))
+
+
 def op3_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carelens.llm.token_store import token_digest
 
@@ -49,6 +55,12 @@ def op6_unigram_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digest(_table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
 
 
+def op7_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.weak_quality import judgements
+
+    return judgements(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_metric_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carelens.llm.range_join import cosine_links
 
