@@ -1,4 +1,4 @@
-"""The corpus pipeline: documents that are fit to train on, as pieces.
+"""The corpus pipeline: documents that are fit to train on, once each, without what repeats or leaks, as pieces.
 
 ``run`` applies the stages to ``documents``; each stage's rows are stored as Parquet and read again by the next one.
 """
@@ -8,13 +8,50 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from carelens.llm.common import on_workers, stored, whole_text
+from carelens.llm.decontaminate import without_leaks
 from carelens.llm.pieces import encode_column
+from carelens.llm.shingle_join import shingle_components
+from carelens.llm.suffix_dedup import without_repeats
+from carelens.llm.weak_quality import accepted
+
+#: Bytes of a repeated passage: passages of over 50 words hold 230 bytes or more.
+PASSAGE = 200
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier: documents that either scorer rejects (low quality, toxic) go; NULL texts count as empty."""
+    return accepted(docs, on_workers(spark).read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: of each group of linked documents the one of least doc_id stays, and one row of it.
+
+    Documents without a doc_id or without words are linked with nothing and stay.
+    """
+    on_workers(spark)
+    groups = shingle_components(docs.select("doc_id", "text"))
+    kept = stored(groups.where("doc_id = component_id").select("doc_id").distinct(), "kept")
+    return docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns).union(
+        docs.where("doc_id is null")
+    )
+
+
+def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Suffix-array dedup: bytes of passages that start anywhere else too go from the text; n_chars follows."""
+    on_workers(spark)
+    return _counted(without_repeats(docs, PASSAGE))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark decontamination: documents that hold an item, also with other numbers, names or units, go."""
+    return without_leaks(docs, on_workers(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SentencePiece encoding: the ids of every document's pieces."""
+    """SentencePiece encoding: the ids of every document's pieces in place of its text."""
     import public_tokenizers
 
     on_workers(spark)
@@ -22,7 +59,17 @@ def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encode_column(rows, public_tokenizers.path("piece_bpe_32k.model")).drop("text")
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("pieces", pieces)]
+def _counted(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.char_length("text").cast("bigint")) if "n_chars" in docs.columns else docs
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("suffix-array dedup", passages),
+    ("benchmark decontamination", decontaminated),
+    ("SentencePiece encoding", pieces),
+]
 
 #: The stages train a model and merge sorted texts: no SQL gives run()'s rows.
 ORACLE_SQL = None
@@ -30,6 +77,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = on_workers(spark).read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+    for k, (_, stage) in enumerate(STAGES[:-1], 1):
+        docs = stored(stage(spark, docs, sf_dir), f"stage-{k}")
     return STAGES[-1][1](spark, docs, sf_dir)
