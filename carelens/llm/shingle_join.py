@@ -29,6 +29,10 @@ SKETCH_BITS, SLICES = 20, 64
 SHORT_LIST = 8
 #: Shingles of one fragment of a group of candidates.
 FRAGMENT = 2_000_000
+#: Bits of a set's parity sketch: the bits in which two sketches differ are no more than the shingles in which the sets do.
+PARITY_BITS = 1024
+#: In a long list each node is paired with so many that follow it.
+NEXT = 4
 #: Lists of a shingle this much above the mean count are dealt over SALTS tasks.
 HOT, SALTS = 8, 16
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -93,6 +97,13 @@ def _fingerprints(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return mix((sums[ends[1:]] - sums[ends[:-1]]) + counts.astype(np.uint64)).view(np.int64)
 
 
+def _parities(shingles: np.ndarray, counts: np.ndarray) -> list[bytes]:
+    of = np.repeat(np.arange(len(counts)), counts)
+    bits = np.bincount(of * PARITY_BITS + (shingles & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=len(counts) * PARITY_BITS)
+    rows = np.packbits((bits & 1).astype(bool).reshape(len(counts), PARITY_BITS), axis=1)
+    return [r.tobytes() for r in rows]
+
+
 def _profile(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, seen = np.zeros(1 << SKETCH_BITS, np.int64), False
@@ -104,16 +115,16 @@ def _profile(size: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(a, n), pa.array(counts), pa.array(_fingerprints(shingles, counts)),
-                        pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
+                        pa.array(_parities(shingles, counts), pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
                     ],
-                    names=["doc_id", "n", "node", "slice", "counts"],
+                    names=["doc_id", "n", "node", "parity", "slice", "counts"],
                 )
         if seen:
             parts = [x.astype("<u4").tobytes() for x in np.split(sketch, SLICES)]
             none = pa.nulls(SLICES, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none, none, none, pa.array(np.arange(SLICES, dtype=np.int32)), pa.array(parts, pa.binary())],
-                names=["doc_id", "n", "node", "slice", "counts"],
+                [none, none, none, pa.nulls(SLICES, pa.binary()), pa.array(np.arange(SLICES, dtype=np.int32)), pa.array(parts, pa.binary())],
+                names=["doc_id", "n", "node", "parity", "slice", "counts"],
             )
 
     return run
@@ -192,8 +203,8 @@ def _lists(percent: int):
                 ys.append(x + k)
         for s, z in zip(key[~short], sizes[~short], strict=True):
             x = np.arange(s + 1, s + z)
-            xs += [np.full(z - 1, s), x - 1, x]  # with the first, the one before and the last
-            ys += [x, x, np.full(z - 1, s + z - 1)]
+            xs += [np.full(z - 1, s), *(x[: z - k] - 1 for k in range(1, NEXT + 1))]  # with the first, and with the next ones
+            ys += [x, *(x[k - 1 :] for k in range(1, NEXT + 1))]
         if not xs:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         x, y = np.concatenate(xs), np.concatenate(ys)
@@ -249,6 +260,7 @@ def _unconnected(percent: int):
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         node, n, place, part = (rows[c].to_numpy() for c in ("a", "n", "place", "component"))
+        parity = np.frombuffer(b"".join(rows["parity"]), np.uint64).reshape(len(node), -1)
         out = []
         for i in range(0, len(node), 1024):
             x = slice(i, i + 1024)
@@ -256,7 +268,11 @@ def _unconnected(percent: int):
                 y = slice(j, j + 1024)
                 ok = (part[x, None] != part[None, y]) & _possible(n[x, None], place[x, None], n[None, y], place[None, y], percent)
                 u, v = np.nonzero(ok)
-                out.append(np.stack([node[i + u], node[j + v]]))
+                u, v = u + i, v + j
+                differ = np.bitwise_count(parity[u] ^ parity[v]).sum(axis=1).astype(np.int64)
+                least = -(-percent * (n[u] + n[v]) // (100 + percent))
+                near = differ <= n[u] + n[v] - 2 * least
+                out.append(np.stack([node[u[near]], node[v[near]]]))
         both = np.concatenate(out, axis=1)
         both = np.unique(np.sort(both, axis=0), axis=1)
         return pd.DataFrame({"a": both[0], "b": both[1]})
@@ -348,7 +364,7 @@ def shingle_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     spark = docs.sparkSession
     n_parts = partitions(spark)
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
-    seen = stored(texts.mapInArrow(_profile(size), "doc_id bigint, n bigint, node bigint, slice int, counts binary"), "profile")
+    seen = stored(texts.mapInArrow(_profile(size), "doc_id bigint, n bigint, node bigint, parity binary, slice int, counts binary"), "profile")
     profile = seen.where("slice is null").select("doc_id", "n", "node")
     levels = spark.sparkContext.broadcast(_levels(seen.where("slice is not null").select("slice", "counts")))
     filled = profile.where("n > 0 and doc_id is not null")
@@ -367,6 +383,8 @@ def shingle_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     members = long.join(named, "a", "left").withColumn("component", F.coalesce("component", "a"))
     open_ = members.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     rest = members.join(open_.select("shingle"), "shingle", "left_semi")
+    sketches = seen.where("slice is null and n > 0").groupBy(F.col("node").alias("a")).agg(F.first("parity").alias("parity"))
+    rest = rest.join(sketches, "a")
     more = rest.groupBy("shingle").applyInPandas(_unconnected(percent), "a bigint, b bigint").distinct()
     more = stored(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
     if not more.isEmpty():
