@@ -17,6 +17,8 @@ if __name__ == "__main__":
     for name, fn in entry.queries().items():
         if len(sys.argv) > 2 and name not in sys.argv[2:]:
             continue
+        if name not in sqls:
+            continue
         start = time.time()
         try:
             problems = compare(fn(spark, sf_dir), con, sqls[name])
