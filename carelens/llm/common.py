@@ -40,6 +40,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, column: str) -> DataFrame:
+    """``docs`` with a number for each row that stays the same however often and with whatever columns it is computed.
+
+    Rows of plain scans are numbered by their places in the files.  Anything that moves rows is stored first: the order
+    of its rows may change from run to run.
+    """
+    plan = docs._jdf.queryExecution().optimizedPlan().toString().strip().split("\n")
+    steps = ("Project ", "Filter ", "Relation ", "RelationV2", "Union ")
+    if not all(step.lstrip(" +-:").startswith(steps) for step in plan):
+        docs = stored(docs, "numbered")
+    return docs.withColumn(column, F.monotonically_increasing_id())
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

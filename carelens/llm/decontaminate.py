@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import Rolling, chunks, joined, mix, slices, stored, whole_text
+from carelens.llm.common import Rolling, chunks, joined, mix, numbered, slices, stored, whole_text
 
 #: Words that are units behind a number.
 UNITS = (
@@ -175,10 +175,10 @@ def leak_digest(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     A NULL text is empty and holds nothing; rows that repeat a doc_id, or have none, are documents of their own.  Other
     columns are ignored.  Without documents there are no rows, without items nothing is contaminated.
     """
-    numbered = docs.select(F.monotonically_increasing_id().alias("id"), F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
-    found = stored(leaks(numbered.select("id", "text"), benchmark, **options), "leaks")
+    rows = numbered(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")), "id")
+    found = stored(leaks(rows.select("id", "text"), benchmark, **options), "leaks")
     per = found.groupBy("id").agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"), F.max("cover").alias("cover"))
-    rows = numbered.select("id", "doc_id").join(per, "id", "left")
+    rows = rows.select("id", "doc_id").join(per, "id", "left")
     none = F.array().cast("array<bigint>")
     return rows.select("doc_id", F.col("cover").isNotNull().alias("contaminated"), F.coalesce("item_ids", none).alias("item_ids"), F.coalesce("cover", F.lit(0.0)).alias("cover"))
 
@@ -186,7 +186,7 @@ def leak_digest(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` in which no item is found, as they are (a column called _leak_row is left out)."""
     docs = docs.drop("_leak_row")
-    numbered = docs.withColumn("_leak_row", F.monotonically_increasing_id())
-    texts = numbered.select(F.col("_leak_row").alias("id"), whole_text().alias("text"))
+    rows = numbered(docs, "_leak_row")
+    texts = rows.select(F.col("_leak_row").alias("id"), whole_text().alias("text"))
     found = stored(leaks(texts, benchmark, **options).select(F.col("id").alias("_leak_row")).distinct(), "leaks")
-    return numbered.join(found, "_leak_row", "left_anti").drop("_leak_row")
+    return rows.join(found, "_leak_row", "left_anti").drop("_leak_row")

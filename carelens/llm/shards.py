@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from carelens.llm.common import scratch
+from carelens.llm.common import numbered, scratch
 
 BUCKET_BYTES = 16 << 20
 #: The table of bucket sizes is broadcast up to this many buckets (24 bytes each), else joined by a shuffle.
@@ -61,8 +61,7 @@ def write_shards(
     docs = docs.drop("slot", "shard", "_row", "_bucket", "_place")
     seen = docs.agg(F.sum(row_bytes(F.col("text"))).alias("b")).first()["b"] or 0
     n_buckets = max(1, math.ceil(seen / bucket_bytes))
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    scattered = numbered.withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "_row"), F.lit(n_buckets)))
+    scattered = numbered(docs, "_row").withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "_row"), F.lit(n_buckets)))
     # Counts need no text, so the scan of this small job reads the ids alone; one row per bucket.
     sizes = scattered.groupBy("_bucket").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import Rolling, chunks, joined, mix, partitions, slices, stored, whole_text
+from carelens.llm.common import Rolling, chunks, joined, numbered, partitions, slices, stored, whole_text
 
 #: Distinct segments that one task merges for an anchor; beyond, the anchor is cut into blocks of offsets.
 GROUP = 20_000
@@ -99,6 +99,8 @@ def _cut_out(width: int):
             for packed, parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 text = open_.decompress(packed)
                 rows += [(*(p[c] for c in ("key", "seg", "rid", "at", "left", "n", "many")), text[p["at"] : p["at"] + p["n"] + width - 1]) for p in parts]
+            if not rows:
+                continue
             types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
             columns = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays(
@@ -286,6 +288,8 @@ def _narrowed(width: int, block: int):
                     part = data[first : first + high - low + width]
                     content = hashlib.blake2b(part, digest_size=8)
                     rows.append((*(int.from_bytes(x.digest(), "little", signed=True) for x in (name, content)), rid, at + first, high, high - low + 1, many, part))
+            if not rows:
+                continue
             types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary())
             columns = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays(
@@ -362,11 +366,11 @@ def _kept(text: bytes, spans: list | None) -> tuple[int, int, list[tuple[int, in
 
 
 def _with_spans(docs: DataFrame, width: int, group: int) -> tuple[DataFrame, DataFrame]:
-    numbered = docs.withColumn("rid", F.monotonically_increasing_id())
-    texts = numbered.select("rid", whole_text().alias("text"))
+    rows = numbered(docs, "rid")
+    texts = rows.select("rid", whole_text().alias("text"))
     spans = repeated_spans(texts, width, group)
     # Runs of one document, as many as it has room for.
-    return numbered, spans.groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return rows, spans.groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def removal_digest(docs: DataFrame, width: int = 400, group: int = GROUP) -> DataFrame:
@@ -375,10 +379,10 @@ def removal_digest(docs: DataFrame, width: int = 400, group: int = GROUP) -> Dat
     A NULL text is empty.  Rows that repeat a doc_id are documents of their own; so are rows with a NULL one.  Other
     columns are ignored; an empty table gives no rows.
     """
-    numbered, spans = _with_spans(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), width, group)
-    texts = numbered.select("rid", whole_text().alias("text"))
+    found, spans = _with_spans(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), width, group)
+    texts = found.select("rid", whole_text().alias("text"))
     packed = texts.mapInArrow(_packed, "rid bigint, packed binary")
-    rows = packed.join(numbered.select("rid", "doc_id"), "rid").join(spans, "rid", "left").select("doc_id", "packed", "spans")
+    rows = packed.join(found.select("rid", "doc_id"), "rid").join(spans, "rid", "left").select("doc_id", "packed", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = zstandard.ZstdDecompressor()
@@ -407,8 +411,8 @@ def without_repeats(docs: DataFrame, width: int = 400, group: int = GROUP) -> Da
     docs = docs.drop("rid")
     names = docs.columns
     place = names.index("text")
-    numbered, spans = _with_spans(docs, width, group)
-    rows = numbered.join(spans, "rid", "left").select(*names, "spans")
+    found, spans = _with_spans(docs, width, group)
+    rows = found.join(spans, "rid", "left").select(*names, "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
