@@ -42,7 +42,9 @@ def _nearest(batches: Iterator[pa.RecordBatch], pivots: dict, radius: dict | Non
                 own = far.argmin(axis=1)
             every = np.arange(len(x))
             if radius is None:
-                cells = pd.DataFrame({"label": label[rows], "dims": dims[rows], "cell": own, "far": far[every, own]})
+                # Labels without pivots have one cell and no use for a radius.
+                reach = far[every, own] if p is not None else np.full(len(x), -1.0)
+                cells = pd.DataFrame({"label": label[rows], "dims": dims[rows], "cell": own, "far": reach})
                 out = cells.groupby(["label", "dims", "cell"], as_index=False).agg(far=("far", "max"), n=("far", "size"))
                 yield pa.RecordBatch.from_pandas(out.astype({"label": "int64", "dims": "int32", "cell": "int32", "n": "int64"}), preserve_index=False)
                 continue
@@ -147,8 +149,8 @@ def cosine_links(vectors: DataFrame, cosine: float = 0.93) -> DataFrame:
     plain = nodes.select("node", "label", "dims", "times", "vector")
     cells = plain.mapInArrow(lambda b: _nearest(b, sent.value, None, r), "label bigint, dims int, cell int, far double, n bigint")
     cells = stored(cells.groupBy("label", "dims", "cell").agg(F.max("far").alias("far"), F.sum("n").alias("n")), "cells")
-    # One row for each pivot; labels without pivots have no use for a radius.
-    reach = {(c["label"], c["dims"], c["cell"]): c["far"] for c in cells.where("far > 0").collect()} if known else {}
+    # One row for each pivot.
+    reach = {(c["label"], c["dims"], c["cell"]): c["far"] for c in cells.where("far >= 0").collect()} if known else {}
     radius = spark.sparkContext.broadcast(reach)
     placed = plain.mapInArrow(
         lambda b: _nearest(b, sent.value, radius.value, r),
