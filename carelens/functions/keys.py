@@ -65,17 +65,30 @@ def suffix_key(label: str, n: int = 9) -> str:
     return f"right({label}, {n})"
 
 
-def label_key(label: str) -> str:
-    """Key of a composite label, or of a bare identifier that may have lost its zero or gained ``.0``."""
-    return prefix_key(establishment_key(label))
+def label_key(label: str, kind: str = "string") -> str:
+    """Key of a composite label, or of a bare identifier that may have lost its zero or gained ``.0``.
+
+    The key is what stands before the first space or hyphen, its lost zero given back.
+    """
+    if kind != "string":
+        return establishment_key(label, kind)
+    first = f"substring_index(substring_index(ltrim({label}), ' ', 1), '-', 1)"
+    return prefix_key(establishment_key(first))
+
+
+def closing_key(label: str, kind: str = "string") -> str:
+    """Key at the end of a composite label, behind its last space; its lost zero is given back."""
+    if kind != "string":
+        return establishment_key(label, kind)
+    return suffix_key(establishment_key(f"substring_index(rtrim({label}), ' ', -1)"))
 
 
-def resolve_incident_key(declarant: str, location: str) -> str:
+def resolve_incident_key(declarant: str, location: str, declarant_kind: str = "string", location_kind: str = "string") -> str:
     """Establishment an incident belongs to: where it happened, or who declared it if no place is given.
 
     When both name the same establishment the two branches are equal, so one NULL test decides.
     """
     return (
-        f"CASE WHEN {location} IS NULL THEN {suffix_key(canonical_key(declarant))}"
-        f" ELSE {label_key(location)} END"
+        f"CASE WHEN {location} IS NULL THEN {closing_key(declarant, declarant_kind)}"
+        f" ELSE {label_key(location, location_kind)} END"
     )

@@ -2,19 +2,21 @@
 
 import re
 import unicodedata
+from functools import cache
 
 from carelens.fixed_values import ASCII_SPELLINGS
-from carelens.functions.keys import lit
+from carelens.functions.keys import canonical_key, lit
 
 _DROPPED = "[^0-9a-zA-Z_-]"
+_SPELT = "[^0-9a-zA-Z_ -]"
 
 
 def address_line(number: str, *parts: str) -> str:
-    """Street number (which carries a ``.0`` tail of two characters) and further parts in one line.
+    """Street number (without the ``.0`` tail of a number that passed through a float) and further parts in one line.
 
     Every part but the last is followed by a space; a missing part leaves nothing behind.
     """
-    lead = f"substring({number}, 1, length({number}) - 2)"
+    lead = canonical_key(number)
     spaced = [f"coalesce(concat({p}, ' '), '')" for p in (lead, *parts[:-1])]
     return f"concat({', '.join(spaced)}, coalesce({parts[-1]}, ''))"
 
@@ -43,22 +45,33 @@ def normalise_name(name: str) -> str:
     return re.sub(_DROPPED, "", re.sub(" +", "_", ascii_name))
 
 
-def latin_letters() -> tuple[str, str]:
-    """Accented lower-case letters of the Latin blocks that have a one-letter ASCII spelling, and that spelling."""
-    accented = [chr(c) for c in range(0x00A0, 0x0250) if chr(c) == chr(c).lower()]
-    pairs = [(c, ascii_spelling(c)) for c in accented]
-    kept = [(c, s) for c, s in pairs if len(s) == 1 and c not in ASCII_SPELLINGS]
-    return "".join(c for c, _ in kept), "".join(s for _, s in kept)
+@cache
+def respelled_letters() -> dict[str, str]:
+    """Every lower-case character beyond ASCII that has an ASCII spelling, with what of it a name keeps."""
+    found = {c: re.sub(_SPELT, "", ascii_spelling(c)) for c in map(chr, range(0x00A0, 0x30000)) if c == c.lower()}
+    return {c: s.lower() for c, s in found.items() if s}
+
+
+def one_letter_spellings() -> tuple[str, str]:
+    """The accented letters of the Latin blocks that one letter stands for, and those letters."""
+    pairs = [(c, s) for c, s in respelled_letters().items() if len(s) == 1 and (c < "\u0250" or "\u1e00" <= c < "\u1f00")]
+    return "".join(c for c, _ in pairs), "".join(s for _, s in pairs)
 
 
 def slugify(text: str) -> str:
-    """The rule of ``normalise_name`` on values; only values with characters beyond ASCII are respelled."""
+    """The rule of ``normalise_name`` on values; only values with characters beyond ASCII are respelled.
+
+    Accented Latin letters take one translation.  Only values that then still hold a character beyond ASCII are looked
+    up character by character: ligatures, fractions, numerals and the like.
+    """
     lowered = f"lower({text})"
-    respelled = lowered
-    for char, spelling in ASCII_SPELLINGS.items():
-        if re.sub(_DROPPED, "", spelling):  # spellings made of dropped characters only need no replacement
-            respelled = f"replace({respelled}, {lit(char)}, {lit(spelling)})"
-    source, target = latin_letters()
-    respelled = f"translate({respelled}, {lit(source)}, {lit(target)})"
-    ascii_text = f"CASE WHEN octet_length({text}) = length({text}) THEN {lowered} ELSE {respelled} END"
+    source, target = one_letter_spellings()
+    plain = f"translate({lowered}, {lit(source)}, {lit(target)})"
+    rest = {c: s for c, s in respelled_letters().items() if c not in source}
+    entries = ", ".join(f"{lit(c)}, {lit(s)}" for c, s in rest.items())
+    looked_up = f"array_join(transform(split({plain}, ''), c -> coalesce(element_at(map({entries}), c), c)), '')"
+    ascii_text = (
+        f"CASE WHEN octet_length({text}) = length({text}) THEN {lowered}"
+        f" WHEN octet_length({plain}) = length({plain}) THEN {plain} ELSE {looked_up} END"
+    )
     return f"regexp_replace(regexp_replace({ascii_text}, ' +', '_'), '{_DROPPED}', '')"

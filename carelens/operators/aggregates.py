@@ -28,7 +28,7 @@ from carelens.fixed_values import (
 from carelens.functions.dates import parse_dmy
 from carelens.functions.keys import establishment_key, label_key, lit, named, never_null, ref, resolve_incident_key
 from carelens.functions.text import contains_lowered
-from carelens.operators.clean import date_from, is_complaint, is_flagged, is_incident
+from carelens.operators.clean import date_from, is_complaint, is_flagged, is_incident, kinds_of
 from carelens.tables import FINANCE_LABEL, FINANCE_SOURCES
 
 MEASURES = ("charges", "tariff_income", "account70_income", "total_income")
@@ -45,12 +45,14 @@ def aggregate(rows: DataFrame, keys: Sequence[str], figures: Mapping[str, str])
 
 
 def complaint_counts(complaints: DataFrame, key: str = "ndeg_finessrpps", flag: str = "signalement") -> DataFrame:
-    rows = complaints.where(is_complaint(ref(key), ref(flag))).selectExpr(named(establishment_key(ref(key)), "finess"))
+    finess = establishment_key(ref(key), kinds_of(complaints)[key])
+    rows = complaints.where(is_complaint(ref(key), ref(flag))).selectExpr(named(finess, "finess"))
     return aggregate(rows, ["finess"], {"nb_recla": "count(1)"})
 
 
 def flagged_counts(complaints: DataFrame, key: str = "ndeg_finessrpps", flag: str = "signalement") -> DataFrame:
-    rows = complaints.where(is_flagged(ref(key), ref(flag))).selectExpr(named(establishment_key(ref(key)), "finess"))
+    finess = establishment_key(ref(key), kinds_of(complaints)[key])
+    rows = complaints.where(is_flagged(ref(key), ref(flag))).selectExpr(named(finess, "finess"))
     return aggregate(rows, ["finess"], {"nb_signa": "count(1)"})
 
 
@@ -73,7 +75,7 @@ def complaint_profile(
     """
     counted, flagged = is_complaint(ref(key), ref(flag)), is_flagged(ref(key), ref(flag))
     rows = complaints.where(f"{counted} OR {flagged}").selectExpr(
-        named(never_null(establishment_key(ref(key))), "finess"), named(counted, "counted"), f"lower({ref(text)}) AS text"
+        named(never_null(establishment_key(ref(key), kinds_of(complaints)[key])), "finess"), named(counted, "counted"), f"lower({ref(text)}) AS text"
     )
     figures = {
         "nb_recla": "sum(CASE WHEN counted THEN 1 END)",
@@ -91,7 +93,8 @@ def select_incidents(incidents: DataFrame, placed: bool = False) -> DataFrame:
     With ``placed`` those naming no establishment are left out too.
     """
     declarant, location = "declarant_organismendeg_finess", "survenue_du_cas_en_collectivitendeg_finess"
-    key = resolve_incident_key(declarant, location)
+    kinds = kinds_of(incidents)
+    key = resolve_incident_key(declarant, location, kinds[declarant], kinds[location])
     rows = incidents.where(is_incident("reclamation"))
     if placed:
         rows, key = rows.where(f"{declarant} IS NOT NULL OR {location} IS NOT NULL"), never_null(key)
@@ -133,17 +136,21 @@ def incident_by_nature(incidents: DataFrame, natures: Sequence[str] = INCIDENT_N
 
 def grouped_sum(rows: DataFrame, label: str, value: str, alias: str = "total") -> DataFrame:
     """Sum per establishment of a table keyed by a composite label."""
-    keyed = rows.selectExpr(named(label_key(ref(label)), "finess"), named(ref(value), "value"))
+    keyed = rows.selectExpr(named(label_key(ref(label), kinds_of(rows)[label]), "finess"), named(ref(value), "value"))
     return aggregate(keyed, ["finess"], {alias: "sum(value)"})
 
 
 def _finance_rows(tables: Mapping[str, DataFrame], labelled: bool = False) -> DataFrame:
     """All finance tables as one long frame: establishment, class, measure, value; ``labelled`` rows only, or all."""
     label = ref(FINANCE_LABEL)
-    key = never_null(label_key(label)) if labelled else label_key(label)
+
+    def key(table: str) -> str:
+        found = label_key(label, kinds_of(tables[table])[FINANCE_LABEL])
+        return never_null(found) if labelled else found
+
     parts = [
         tables[table].where(f"{label} IS NOT NULL" if labelled else "true").selectExpr(
-            named(key, "finess"),
+            named(key(table), "finess"),
             f"{lit(cadre)} AS cadre",
             f"{lit(measure)} AS measure",
             f"{ref(value)} AS value",
@@ -195,7 +202,7 @@ def route_by_class(classes: DataFrame, finance: DataFrame, keep: Sequence[str] =
 def distinct_missions(missions: DataFrame, first: str = INSPECTIONS_FROM) -> DataFrame:
     """Missions with a real visit on or after ``first``, each kept once."""
     kept = missions.where(f"code_finess IS NOT NULL AND {date_from('date_reelle_visite', first)}").selectExpr(
-        named(never_null(establishment_key("code_finess")), "finess"),
+        named(never_null(establishment_key("code_finess", kinds_of(missions)["code_finess"])), "finess"),
         "identifiant_de_la_mission",
         "date_provisoire_visite",
         "date_reelle_visite",

@@ -1,10 +1,10 @@
 """Keyed enrichment that stays parallel when one key holds a large share of a table.
 
-Without heavy keys every side is LEFT JOINed on the one key, which costs one shuffle of the register.  When the tables
-are large their keys are counted first.  Keys above a share of a table are few by arithmetic (at most ``1 / share`` per
-table), whatever the data; their rows are taken out and joined over a grid of cells: left rows are spread over the
-grid's rows, right rows over its columns, and each side is copied along the other axis, so every pair meets in exactly
-one cell and no task holds a whole group.
+Without heavy keys every side is LEFT JOINed on the one key, which costs one shuffle of the register.  When a table has
+more rows than one task should get of a key, keys are counted first.  Keys with more rows than that are few by
+arithmetic (at most one for so many rows of a table), whatever the data; their rows are taken out and joined over a grid
+of cells: left rows are spread over the grid's rows, right rows over its columns, and each side is copied along the other
+axis, so every pair meets in exactly one cell and no task holds a whole group.
 """
 
 from collections.abc import Iterable, Mapping
@@ -14,13 +14,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carelens.functions.keys import lit, named, ref
-from carelens.operators.joins import plan_bytes
 
-HEAVY_SHARE = 1 / 1000
-# A group below this many rows is never a burden to one task; it is also the number of rows aimed at per cell.
+# A group below this many rows is no burden to one task; it is also the number of rows aimed at per cell.
 HEAVY_ROWS = 200_000
-# Tables below this size cannot hold a burdensome group, so their keys are not counted.
-CHECK_BYTES = 256 * 1024 * 1024
+# Up to so many heavy keys are broadcast; more of them are joined by a shuffle.
+BROADCAST_KEYS = 100_000
 
 _REPEAT_CHUNK = 1000
 
@@ -38,17 +36,15 @@ def repeat_rows(df: DataFrame, times: str, identity: list[str]) -> DataFrame:
 
 
 def heavy_keys(
-    frames: Mapping[str, DataFrame], key: str, share: float = HEAVY_SHARE, min_rows: int = HEAVY_ROWS
+    frames: Mapping[str, DataFrame], key: str, min_rows: int = HEAVY_ROWS
 ) -> dict[str | None, dict[str, int]]:
-    """Keys holding more than a share of any frame, with their number of rows in every frame.
+    """Keys with more than ``min_rows`` rows in any frame, with their number of rows in every frame.
 
-    The counting is distributed; only the heavy keys, whose number the share bounds, come back.
+    The counting is distributed; only the heavy keys come back, one for each ``min_rows`` rows of a frame at most.
     """
     tagged = [f.selectExpr(f"{lit(name)} AS frame", named(ref(key), "key")) for name, f in frames.items()]
     counts = reduce(DataFrame.unionByName, tagged).groupBy("frame", "key").agg(F.expr("count(1) AS n"))
-    totals = counts.groupBy("frame").agg(F.expr("sum(n) AS total"))  # one row per frame
-    heavy = counts.join(F.broadcast(totals), "frame").where(f"n > total * {share}D AND n > {min_rows}")
-    distinct = F.broadcast(heavy.selectExpr("key AS heavy").distinct())
+    distinct = counts.where(f"n > {min_rows}").selectExpr("key AS heavy").distinct()
     rows = counts.join(distinct, F.expr("key <=> heavy")).select("frame", "key", "n")
     found: dict[str | None, dict[str, int]] = {}
     for row in rows.collect():
@@ -56,12 +52,16 @@ def heavy_keys(
     return found
 
 
-def _has_burden(inputs: Iterable[DataFrame], skew_check: str) -> bool:
-    """Whether keys are to be counted: the measured inputs are tables as read, whose size the optimizer knows."""
+def _has_burden(inputs: Iterable[DataFrame], skew_check: str, min_rows: int) -> bool:
+    """Whether keys are to be counted: a table with ``min_rows`` rows in all has no key with more.
+
+    Rows are counted, as bytes say nothing: columnar files store a key's repetitions in next to no space.
+    """
     if skew_check != "auto":
         return skew_check == "always"
-    sizes = [plan_bytes(f) for f in inputs]
-    return any(s is None or s > CHECK_BYTES for s in sizes)
+    tagged = [f.selectExpr(f"{i} AS frame") for i, f in enumerate(inputs)]
+    rows = reduce(DataFrame.union, tagged).groupBy("frame").agg(F.expr("count(1) AS n"))
+    return bool(tagged) and not rows.where(f"n > {min_rows}").isEmpty()
 
 
 def _chain(fact: DataFrame, sides: Mapping[str, DataFrame], key: str) -> DataFrame:
@@ -82,7 +82,7 @@ def _grid_join(left: DataFrame, side: DataFrame, key: str, cells: DataFrame, rep
     A left row visits every column, so its unmatched copies are dropped unless the key has a single column; more than
     one column means the side does hold the key.
     """
-    grid = F.broadcast(cells)
+    grid = cells
     lefts = (
         left.join(grid, F.expr(f"{ref(key)} <=> __key"))
         .selectExpr(
@@ -115,21 +115,22 @@ def enrich_by_key(
     key: str,
     measured: Iterable[DataFrame],
     skew_check: str = "auto",
-    share: float = HEAVY_SHARE,
     min_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """LEFT JOIN all sides on the key: ``sources`` may repeat it, ``aggregates`` hold it once.
 
-    ``skew_check`` is ``auto`` (count keys first if a table of ``measured`` is large), ``always`` or ``never``.
+    ``skew_check`` is ``auto`` (count keys first if a table of ``measured`` has more than ``min_rows`` rows), ``always`` or ``never``.
     """
     sides = {**aggregates, **sources}
     counted = {"": fact, **sources}
-    heavy = heavy_keys(counted, key, share, min_rows) if _has_burden(measured, skew_check) else {}
+    heavy = heavy_keys(counted, key, min_rows) if _has_burden([*measured], skew_check, min_rows) else {}
     if not heavy:
         return _chain(fact, sides, key)
 
     spark = fact.sparkSession
-    keys = F.broadcast(spark.createDataFrame([(k,) for k in heavy], "__key string"))
+    keys = spark.createDataFrame([(k,) for k in heavy], "__key string")
+    if len(heavy) <= BROADCAST_KEYS:
+        keys = F.broadcast(keys)
     is_heavy = F.expr(f"{ref(key)} <=> __key")
 
     def light(df: DataFrame) -> DataFrame:
@@ -146,7 +147,8 @@ def enrich_by_key(
             return heavy[k].get(side, 0) if side in sources and k is not None else 1  # a NULL key has no match
 
         sizes = [(k, fan(left_rows[k]), fan(side_rows(k))) for k in heavy]
-        return spark.createDataFrame(sizes, "__key string, __rows bigint, __cols bigint")
+        grid = spark.createDataFrame(sizes, "__key string, __rows bigint, __cols bigint")
+        return F.broadcast(grid) if len(sizes) <= BROADCAST_KEYS else grid
 
     left = burdened(fact)
     left_rows = {k: counts.get("", 0) for k, counts in heavy.items()}

@@ -52,7 +52,8 @@ Tables = Mapping[str, DataFrame]
 
 # Tables whose rows are joined key by key (facts are aggregated first and cannot be skewed here).
 _KEYED_TABLES = (
-    T.FACILITIES, T.CAPACITIES, T.TOTAL_CAPACITY, T.OCCUPATION_2022, T.DEPENDENCY, T.INDICATORS, T.CLASSES,
+    T.FACILITIES, T.CAPACITIES, T.TOTAL_CAPACITY, T.OCCUPATION_2020, T.OCCUPATION_2021, T.OCCUPATION_2022, T.LODGING,
+    T.DEPENDENCY, T.INDICATORS, T.CLASSES,
     *T.DASHBOARDS.values(),
 )
 

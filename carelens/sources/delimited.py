@@ -64,28 +64,37 @@ def table_name(folder: str, path: str, suffix: str = ".csv") -> str:
     return named[0].split(".")[0]
 
 
+def _encoding_of(name: str, encoding: str | dict[str, str]) -> str:
+    return encoding if isinstance(encoding, str) else encoding.get(name, "UTF-8")
+
+
 def read_folder(
     spark: SparkSession,
     folder: str,
-    encoding: str = "UTF-8",
+    encoding: str | dict[str, str] = "UTF-8",
     skip_pattern: str | None = SAMPLE_FILES,
     schemas: dict[str, Schema] | None = None,
     views: bool = True,
 ) -> dict[str, DataFrame]:
     """Every delimited file of a folder as a table named by its stem, registered as a view of the same name.
 
-    ``name.csv`` may be a file or a folder of part files; the files of one table are one scan.  File names matching
-    ``skip_pattern`` are left out.
+    ``name.csv`` may be a file or a folder of part files.  The files of one table with the same header are one scan;
+    those with another are appended by column name.  File names matching ``skip_pattern`` are left out.  ``encoding`` is
+    one for all tables, or one by table name (UTF-8 for tables that it lacks).
     """
     declared = SCHEMAS if schemas is None else schemas
-    grouped: dict[str, list[str]] = {}
+    grouped: dict[str, dict[tuple[str, ...], list[str]]] = {}
     for path in list_files(spark, folder):
         if skip_pattern and re.search(skip_pattern, path):
             continue
-        grouped.setdefault(table_name(folder, path), []).append(path)
+        name = table_name(folder, path)
+        header = tuple(read_headers(spark, path, encoding=_encoding_of(name, encoding)))
+        grouped.setdefault(name, {}).setdefault(header, []).append(path)
     tables = {
-        name: read_delimited(spark, paths, encoding=encoding, schema=declared.get(name))
-        for name, paths in grouped.items()
+        name: concat_sources(
+            [read_delimited(spark, paths, encoding=_encoding_of(name, encoding), schema=declared.get(name)) for paths in by_header.values()]
+        )
+        for name, by_header in grouped.items()
     }
     if views:
         for name, df in tables.items():

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,9 +34,13 @@ def arrange_by_region(report: DataFrame, order: str = LABELS["finess"]) -> DataF
     return report.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
-def _write(rows: DataFrame, folder: str) -> DataFrame:
-    rows.write.mode("overwrite").partitionBy(*FOLDERS).parquet(folder)
-    return rows.sparkSession.read.parquet(folder)
+def _write(rows: DataFrame, folder: str, fmt: str = "parquet") -> None:
+    """Replaces the regions at hand; other regions of the folder stay."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*FOLDERS)
+    if fmt == "csv":
+        writer.csv(folder, header=True, sep=";")
+    else:
+        writer.parquet(folder)
 
 
 def export_report(
@@ -49,15 +54,16 @@ def export_report(
     """Write both reports of every region, from rows built for both; returns the folder of each sheet.
 
     ``{path}/{ddmmyyyy}/{sheet}/region_code=…/nom=…`` holds one region, each file a sorted run of establishments.
-    The rows are computed once, into ``{path}/{ddmmyyyy}/both``, and the sheets are cut from there.  ``csv`` gives each
-    region the columns of its own variant, in ``{sheet}_csv/{variant}``.
+    The rows are shuffled and sorted once and kept on the executors' disks while the sheets are cut from them; what a lost
+    executor held is computed again.  ``csv`` gives each region the columns of its own variant, in
+    ``{sheet}_csv/{variant}``.  Regions exported before on the same day stay.
     """
     root = f"{path}/{run_stamp(day)}"
-    stored = _write(arrange_by_region(label_region(both, regions, "region_code").drop("ncc")), f"{root}/both")
+    stored = arrange_by_region(label_region(both, regions, "region_code").drop("ncc")).persist(StorageLevel.DISK_ONLY)
     special = f"coalesce(region_code IN ({', '.join(map(str, complaint_regions)) or 'NULL'}), false)"
     written = {}
     for kind, name in SHEETS.items():
-        rows = arrange_by_region(sheet(stored, kind))
+        rows = sheet(stored, kind)
         if fmt == "parquet":
             written[name] = f"{root}/{name}"
             _write(rows, written[name])
@@ -66,8 +72,6 @@ def export_report(
             layout = [LABELS[f] for f in report_fields(kind, variant)]
             if set(layout) <= set(rows.columns):  # else no region of this variant was reported
                 written[f"{name}_{variant}"] = f"{root}/{name}_csv/{variant}"
-                shown = rows.where(own).select(*FOLDERS, *map(ref, layout))
-                shown.write.mode("overwrite").partitionBy(*FOLDERS).csv(
-                    written[f"{name}_{variant}"], header=True, sep=";"
-                )
+                _write(rows.where(own).select(*FOLDERS, *map(ref, layout)), written[f"{name}_{variant}"], "csv")
+    stored.unpersist()
     return written

@@ -65,11 +65,11 @@ def _dashboard(year: int) -> Schema:
 
 
 def _finance(value: str) -> Schema:
-    return {FINANCE_LABEL: "string", value: "decimal(18,2)"}
+    return {FINANCE_LABEL: "string", value: "decimal(38,10)"}
 
 
 # Column kinds: string, int, double, decimal(p,s).  Money is decimal, so that sums are exact and do not depend on the
-# order rows arrive in.
+# order rows arrive in; its scale is wide, so nothing is rounded before the sum.
 SCHEMAS: dict[str, Schema] = {
     FACILITIES: _columns(
         string="finess categ_lib rs ej_finess ej_rs statut_jur_lib adresse_num_voie adresse_comp_voie"

@@ -6,7 +6,6 @@ geography joined step by step.  Nothing of the Spark plans is shared but the fix
 
 from carelens import tables as T
 from carelens.fixed_values import (
-    ASCII_SPELLINGS,
     CATEGORY_CODES,
     COMPLAINT_MOTIFS,
     DASHBOARD_2022_ONLY,
@@ -19,7 +18,6 @@ from carelens.fixed_values import (
     LABELS,
     REGIONS,
 )
-from carelens.functions.text import latin_letters
 from carelens.plans.reports import COMPLAINTS, CONTROL, INCIDENTS, TARGETING, report_fields
 from carelens.testbed.queries import (
     ALL_REGIONS,
@@ -49,7 +47,7 @@ def commune(x: str) -> str:
 
 
 def label(x: str) -> str:
-    return f"substr({key(x)}, 1, 9)"
+    return f"substr({pad(f"regexp_extract({x}, '^\\s*([0-9A-Za-z]+)', 1)", 8)}, 1, 9)"
 
 
 def integer(x: str) -> str:
@@ -84,7 +82,7 @@ def count_if(condition: str) -> str:
 
 
 def incident_key(declarant: str, location: str) -> str:
-    own = f"right({canonical(declarant)}, 9)"
+    own = f"right({pad(f"regexp_extract({canonical(declarant)}, '([0-9A-Za-z]+)\\s*$', 1)", 8)}, 9)"
     return f"CASE WHEN {location} IS NULL THEN {own} ELSE {label(location)} END"
 
 
@@ -93,7 +91,7 @@ ADDRESS_PARTS = ("num_voie", "comp_voie", "type_voie", "nom_voie", "lieuditbp",
 
 def address() -> str:
     number_, *middle, last = [f"adresse_{p}" for p in ADDRESS_PARTS]
-    shown = [f"substr({number_}, 1, length({number_}) - 2)", *middle]
+    shown = [f"regexp_replace({number_}, '[.]0$', '')", *middle]
     return " || ".join([*[f"coalesce({p} || ' ', '')" for p in shown], f"coalesce({last}, '')"])
 
 
@@ -338,11 +336,11 @@ _ALL_VIEWS = (
 
 
 def _slug() -> str:
+    """The documents hold accented letters and few others: those are listed here, the engine strips the accents."""
     text = "lower(text)"
-    for char, spelling in ASCII_SPELLINGS.items():
+    for char, spelling in (("ß", "ss"), ("œ", "oe"), ("æ", "ae"), ("ø", "o"), ("°", "deg"), ("€", "EUR"), ("–", "-"), ("—", "--")):
         text = f"replace({text}, {q(char)}, {q(spelling)})"
-    source, target = latin_letters()
-    text = f"translate({text}, {q(source)}, {q(target)})"
+    text = f"strip_accents({text})"
     return f"regexp_replace(regexp_replace({text}, ' +', '_', 'g'), '[^0-9a-zA-Z_-]', '', 'g')"
 
 
@@ -438,7 +436,7 @@ def oracle_sql() -> dict[str, str]:
         ]),
         "clean_dashboard": f"{cte(T.DASHBOARDS[2022])} {_dashboard(2022)}",
         "filter_in_list": "SELECT p_partkey, p_size FROM part WHERE p_size IN"
-        f" ({', '.join(str(c) for c in CATEGORY_CODES if c < 200)})",
+        f" ({', '.join(str(c) for c in CATEGORY_CODES)})",
         "complaint_counts": f"{cte(T.COMPLAINTS)},{COMPLAINT} SELECT * FROM complaint",
         "flagged_counts": f"{cte(T.COMPLAINTS)},{FLAGGED} SELECT * FROM flagged",
         "motif_flag_counts": "SELECT source AS finess, "

@@ -94,7 +94,7 @@ def qi(name: str) -> str:
 
 def _finance(slot: int, value: str) -> str:
     return (
-        f"SELECT {full_key('l_partkey')} || ' - PART ' || CAST(l_partkey AS STRING) AS {qi(T.FINANCE_LABEL)},"
+        f"SELECT {bare_key('l_partkey')} || ' - PART ' || CAST(l_partkey AS STRING) AS {qi(T.FINANCE_LABEL)},"
         f" CAST(l_extendedprice AS DECIMAL(18,2)) AS {value} FROM {{lineitem}} WHERE l_suppkey % 10 = {slot}"
     )
 
@@ -105,7 +105,9 @@ VIEWS: dict[str, str] = {
                CAST(CASE c_custkey % 3 WHEN 0 THEN 500 WHEN 1 THEN 159 ELSE 999 END AS INT) AS categ_code,
                c_name AS rs, {raw_key('(c_custkey % 97)')} AS ej_finess, 'EJ ' || c_mktsegment AS ej_rs,
                {one_of('c_custkey', ['Public', 'Privé', None, 'Associatif'])} AS statut_jur_lib,
-               CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE CAST(c_custkey % 100 AS STRING) || '.0' END AS adresse_num_voie,
+               CASE c_custkey % 5 WHEN 0 THEN NULL WHEN 1 THEN CAST(c_custkey % 100 AS STRING)
+                    WHEN 2 THEN CAST(c_custkey % 100 AS STRING) || 'B'
+                    ELSE CAST(c_custkey % 100 AS STRING) || '.0' END AS adresse_num_voie,
                CASE WHEN c_custkey % 4 = 0 THEN 'BIS' END AS adresse_comp_voie,
                CASE WHEN c_custkey % 9 = 4 THEN NULL ELSE 'RUE' END AS adresse_type_voie,
                c_mktsegment AS adresse_nom_voie,
@@ -132,10 +134,12 @@ VIEWS: dict[str, str] = {
                {one_of('o_orderkey', _MOTIF_TEXTS)} AS motifs_igas
         FROM {{orders}}""",
     T.INCIDENTS: f"""
-        SELECT CASE WHEN l_suppkey % 13 = 0 THEN NULL ELSE 'ORG ' || {full_key('l_partkey')} END
+        SELECT CASE WHEN l_suppkey % 13 = 0 THEN NULL WHEN l_suppkey % 13 < 4 THEN {raw_key('l_partkey')}
+                    WHEN l_suppkey % 13 < 7 THEN 'ORG ' || {bare_key('l_partkey')}
+                    ELSE 'ORG ' || {full_key('l_partkey')} END
                    AS declarant_organismendeg_finess,
                CASE l_linenumber % 3 WHEN 0 THEN NULL
-                    WHEN 1 THEN {full_key('l_partkey')} || ' - SITE'
+                    WHEN 1 THEN {bare_key('l_partkey')} || ' - SITE'
                     ELSE {raw_key('(l_partkey + 1)')} END AS survenue_du_cas_en_collectivitendeg_finess,
                {one_of('l_suppkey', ['Oui', None, 'Non', 'Non'])} AS reclamation,
                CASE l_linestatus WHEN 'F' THEN 'Oui' ELSE CASE WHEN l_suppkey % 17 = 1 THEN NULL ELSE 'Non' END END

@@ -26,11 +26,15 @@ CASES = [
     (keys.suffix_key("a"), "string", ["ORG - 010001234", "short", None], ["010001234", "short", None]),
     (keys.resolve_incident_key("a", "b"), "string,string",
      [("ORG 010001234", "010001234 - X"), ("ORG 010001234", None), ("ORG 010001234", "10005678.0"), (None, None),
-      ("010001234.0", None)],
-     ["010001234", "010001234", "010005678", None, "010001234"]),
+      ("010001234.0", None), ("10001234", None), ("ORG 10001234", None), (None, "10001234 - NAME"), ("ORG 2A0001234 ", None)],
+     ["010001234", "010001234", "010005678", None, "010001234", "010001234", "010001234", "010001234", "2A0001234"]),
+    (keys.label_key("a"), "string", ["10001234 - NAME", "010001234 - NAME", "10001234.0", "2A0001234", None, "10001234-NAME"],
+     ["010001234", "010001234", "010001234", "2A0001234", None, "010001234"]),
+    (keys.label_key("a", "double"), "double", [10001234.0, None], ["010001234", None]),
     (text.address_line("a", "b", "c"), "string,string,string",
-     [("12.0", "BIS", "RUE"), (None, "BIS", None), ("1.0", None, None), (None, None, None)],
-     ["12 BIS RUE", "BIS ", "1 ", ""]),
+     [("12.0", "BIS", "RUE"), (None, "BIS", None), ("1.0", None, None), (None, None, None), ("12", None, "RUE"),
+      ("12B", None, "RUE"), ("7", None, None)],
+     ["12 BIS RUE", "BIS ", "1 ", "", "12 RUE", "12B RUE", "7 "]),
     (text.contains_text("a", "d?esthétique_"), "string",
      ["x D?ESTHÉTIQUE_ y", "d'esthétique_", "d?esthétiqueX", None], [True, False, False, None]),
     (text.slugify("a"), "string", ["N° FINESS/RPPS", "Cœur  d’été - 2", "plain TEXT", None],
@@ -64,7 +68,7 @@ def test_literals_survive_quoting(spark):
 
 
 def test_names_agree_with_values(spark):
-    names = ["Taux d'absentéisme  2019", "ÀÉÎõü ßæ°", "a_b-c 9", "Ÿ – €"]
+    names = ["Taux d'absentéisme  2019", "ÀÉÎõü ßæ°", "a_b-c 9", "Ÿ – €", "ếǆﬁ ½ĳ①Ⅳ", "x\u00a0y"]
     lowered = [text.normalise_name(n).lower() for n in names]
     assert [v.lower() for v in evaluate(spark, text.slugify("a"), "string", *names)] == lowered
 

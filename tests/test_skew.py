@@ -29,7 +29,7 @@ def frames(spark):
 
 def test_heavy_keys_are_found_with_their_counts(frames):
     fact, sources, _ = frames
-    heavy = skew.heavy_keys({"": fact, **sources}, "finess", share=0.2, min_rows=10)
+    heavy = skew.heavy_keys({"": fact, **sources}, "finess", min_rows=10)
     assert heavy == {"hot": {"": 40, "dup": 30}, None: {"": 20, "dup": 1, "far": 25}, "k3": {"": 1, "far": 25}}
 
 
@@ -37,7 +37,7 @@ def test_heavy_keys_are_found_with_their_counts(frames):
 def test_grid_join_equals_plain_join(frames, min_rows):
     fact, sources, aggregates = frames
     plain = skew.enrich_by_key(fact, sources, aggregates, "finess", [], "never")
-    balanced = skew.enrich_by_key(fact, sources, aggregates, "finess", [], "always", 0.01, min_rows)
+    balanced = skew.enrich_by_key(fact, sources, aggregates, "finess", [], "always", min_rows)
     assert sorted(plain.columns) == sorted(balanced.columns)
     assert bag(plain) == bag(balanced)
 
@@ -52,5 +52,5 @@ def test_repeated_rows(spark):
 def test_report_is_the_same_with_every_key_heavy(spark, monkeypatch):
     tables = report_tables(spark, "/root/testdata/sf0.001")
     plain = bag(R.build_report(tables, R.TARGETING, [1, 2], [], "never"))
-    monkeypatch.setattr(R, "enrich_by_key", partial(skew.enrich_by_key, share=0.0, min_rows=1))
+    monkeypatch.setattr(R, "enrich_by_key", partial(skew.enrich_by_key, min_rows=1))
     assert bag(R.build_report(tables, R.TARGETING, [1, 2], [], "always")) == plain
