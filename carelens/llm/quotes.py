@@ -13,6 +13,8 @@ from carelens.llm.common import stored
 
 #: Quoted passages with fewer letters and digits than this link nothing.
 LEAST_CHARS = 12
+#: Turns are cut into blocks of two to this power, so that no task sorts a whole conversation.
+TURN_BITS = 12
 
 
 def normalised(text: Column) -> Column:
@@ -73,21 +75,21 @@ def linked(messages: DataFrame) -> DataFrame:
     asked = known.where("size(passages) > 0").select("conv_id", "turn", F.posexplode("passages").alias("n", "p"))
     asked = asked.select("conv_id", "turn", "n", F.col("p.level").alias("level"), normalised(F.col("p.content")).alias("norm"))
     asked = asked.where(F.length("norm") >= LEAST_CHARS).withColumn("hash", F.xxhash64("norm"))
+    asked = asked.groupBy("conv_id", "turn", "level", "hash", "norm").agg(F.min("n").alias("n"))
     said = said.where(F.length("norm") >= LEAST_CHARS).withColumn("hash", F.xxhash64("norm"))
     wanted = asked.select("hash").distinct()
     # One source per passage and conversation, and the first of all: a passage that many say stays one row.
     said = said.join(wanted, "hash", "left_semi")
     first = said.groupBy("hash", "norm").agg(F.min(F.struct("turn", "conv_id")).alias("first"))
-    near = said.select("hash", "norm", "conv_id", F.col("turn").alias("said"))
-    inside = asked.join(near, ["hash", "norm", "conv_id"]).where("said < turn").groupBy("conv_id", "turn", "n", "level").agg(F.max("said").alias("said"))
+    # Both sides in one list by turn: as long as they are, however often a conversation repeats a passage.
+    both = asked.withColumn("said", F.lit(None).cast("bigint")).unionByName(said.withColumn("said", F.col("turn")), allowMissingColumns=True)
+    inside = _latest_before(both, "hash", "norm", "conv_id").where("n is not null and latest is not null")
     outside = asked.join(first, ["hash", "norm"]).where("first.turn < turn or (first.turn = turn and first.conv_id < conv_id)")
-    choice = inside.select("conv_id", "turn", F.struct("level", F.lit(0).alias("far"), "n", F.col("said").alias("p_turn"), F.col("conv_id").alias("p_conv")).alias("c"))
+    choice = inside.select("conv_id", "turn", F.struct("level", F.lit(0).alias("far"), "n", F.col("latest").alias("p_turn"), F.col("conv_id").alias("p_conv")).alias("c"))
     choice = choice.unionByName(outside.select("conv_id", "turn", F.struct("level", F.lit(1).alias("far"), "n", F.col("first.turn").alias("p_turn"), F.col("first.conv_id").alias("p_conv")).alias("c")))
     parent = choice.groupBy("conv_id", "turn").agg(F.min("c").alias("c"))
     keys = known.select("conv_id", "turn").distinct()
-    # The turn before, by position: pairs (conv_id, turn) are as many as a conversation has turns.
-    order = Window.partitionBy("conv_id").orderBy("turn")
-    keys = keys.withColumn("previous", F.lag("turn").over(order)).join(parent, ["conv_id", "turn"], "left")
+    keys = _latest_before(keys.withColumn("said", F.col("turn")), "conv_id").withColumnRenamed("latest", "previous").join(parent, ["conv_id", "turn"], "left")
     keys = keys.select(
         "conv_id", "turn", F.coalesce("c.p_conv", F.when(F.col("previous").isNotNull(), F.col("conv_id"))).alias("parent_conv"),
         F.coalesce("c.p_turn", "previous").alias("parent_turn"),
@@ -99,22 +101,37 @@ def linked(messages: DataFrame) -> DataFrame:
     return out.join(threads, ["conv_id", "turn"], "left")
 
 
+def _latest_before(rows: DataFrame, *by: str) -> DataFrame:
+    """``rows`` with ``latest``: the greatest ``said`` among rows of the same ``by`` whose ``turn`` is less.
+
+    Within a block of turns by a window, across blocks by the greatest value of each.
+    """
+    rows = rows.withColumn("block", F.shiftright("turn", TURN_BITS))
+    within = Window.partitionBy(*by, "block").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
+    across = Window.partitionBy(*by).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy(*by, "block").agg(F.max("said").alias("said")).select(*by, "block", F.max("said").over(across).alias("earlier"))
+    rows = rows.withColumn("latest", F.max("said").over(within)).join(blocks, [*by, "block"], "left")
+    return rows.withColumn("latest", F.coalesce("latest", "earlier")).drop("block", "earlier", "said")
+
+
 def _threads(keys: DataFrame) -> DataFrame:
-    """Root and depth of each message by pointer doubling; each round is stored."""
+    """Root and depth of each message by pointer doubling; each round is stored.
+
+    A message that has reached its root is settled: later rounds join those that have not, so long threads cost their own
+    length and not a pass over all messages.
+    """
     up = keys.select(
         "conv_id", "turn", "parent_conv", "parent_turn", F.coalesce("parent_conv", "conv_id").alias("up_conv"), F.coalesce("parent_turn", "turn").alias("up_turn"),
-        F.when(F.col("parent_turn").isNotNull(), 1).otherwise(0).alias("depth"),
+        F.when(F.col("parent_turn").isNotNull(), 1).otherwise(0).alias("depth"), F.col("parent_turn").isNotNull().alias("open"),
     )
     while True:
-        far = up.select(F.col("conv_id").alias("up_conv"), F.col("turn").alias("up_turn"), F.col("up_conv").alias("far_conv"), F.col("up_turn").alias("far_turn"), F.col("depth").alias("more"))
-        new = up.join(far, ["up_conv", "up_turn"], "left").select(
+        far = up.select(F.col("conv_id").alias("up_conv"), F.col("turn").alias("up_turn"), F.col("up_conv").alias("far_conv"), F.col("up_turn").alias("far_turn"), F.col("depth").alias("more"), F.col("open").alias("far_open"))
+        new = up.where("open").join(far, ["up_conv", "up_turn"], "left").select(
             "conv_id", "turn", "parent_conv", "parent_turn", F.coalesce("far_conv", "up_conv").alias("up_conv"), F.coalesce("far_turn", "up_turn").alias("up_turn"),
-            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), (F.coalesce("more", F.lit(0)) > 0).alias("moved"),
+            (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.coalesce("far_open", F.lit(False)).alias("open"),
         )
-        new = stored(new, "threads")
-        moved = not new.where("moved").isEmpty()
-        up = new.drop("moved")
-        if not moved:
+        up = stored(up.where("not open").unionByName(new), "threads")
+        if up.where("open").isEmpty():
             break
     roots = up.select("conv_id", "turn", "parent_conv", "parent_turn", F.col("up_conv").alias("thread_conv"), F.col("up_turn").alias("thread_turn"), "depth")
     return roots.withColumn("place", F.struct("depth", "turn", "conv_id"))
