@@ -28,6 +28,8 @@ INSULTS = (
 BUCKETS = 1 << 18
 #: Judged documents that train the scorers: the least by hash, whatever the size of the corpus.
 SAMPLE = 12_000
+#: Entries of the sample that training takes at a time.
+BLOCK = 1 << 19
 PREFIXES = (6, 7, 8)
 _rolling = Rolling(31)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -149,24 +151,36 @@ def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: i
     return post, known, prior
 
 
+def _sums(size: int, index: np.ndarray, values: np.ndarray | None = None, at: np.ndarray | None = None) -> np.ndarray:
+    """Sums of ``values[at]`` (ones without values) by ``index``, block by block: no copy as long as the sample."""
+    total = np.zeros(size)
+    for a in range(0, len(index), BLOCK):
+        part = slice(a, a + BLOCK)
+        total += np.bincount(index[part], None if values is None else values[at[part]], size)
+    return total
+
+
+def frequent(owner: np.ndarray, bucket: np.ndarray, least: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Entries whose bucket is seen ``least`` times."""
+    keep = (_sums(BUCKETS, bucket) >= least)[bucket]
+    return owner[keep], bucket[keep]
+
+
 def train(owner: np.ndarray, bucket: np.ndarray, target: np.ndarray, penalty: float, rounds: int = 100) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic scorer with an L1 penalty, by accelerated proximal steps over the whole sample."""
     n = len(target)
     if not n:
         return np.zeros(BUCKETS, np.float32), -1.0
-    seen = np.bincount(bucket, minlength=BUCKETS)
-    keep = (seen >= 3)[bucket]
-    owner, bucket = owner[keep], bucket[keep]
     # Each class weighs alike, so a rare one is not drowned.
     share = np.clip(target.mean(), 0.02, 0.98)
     weight = target * 0.5 / share + (1 - target) * 0.5 / (1 - share)
     w, z, bias, zb, t = np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 0.0, 1.0
-    scale = 1 / np.sqrt(np.maximum(np.bincount(bucket, minlength=BUCKETS), 1) / n + 1e-3)  # rare features step further
-    step = 4.0 / max(1.0, np.bincount(owner, scale[bucket] ** 2, n).mean())
+    scale = 1 / np.sqrt(np.maximum(_sums(BUCKETS, bucket), 1) / n + 1e-3)  # rare features step further
+    step = 4.0 / max(1.0, _sums(n, owner, scale**2, bucket).mean())
     for _ in range(rounds):
-        margin = np.bincount(owner, z[bucket], n) + zb
+        margin = _sums(n, owner, z, bucket) + zb
         error = weight * (1 / (1 + np.exp(-np.clip(margin, -40, 40))) - target) / n
-        grad = np.bincount(bucket, error[owner], BUCKETS)
+        grad = _sums(BUCKETS, bucket, error, owner)
         new = z - step * scale**2 * grad
         new = np.sign(new) * np.maximum(np.abs(new) - step * scale**2 * penalty, 0)
         new_b = zb - step * error.sum()
@@ -213,7 +227,6 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     ``labels`` (doc_id, quality, toxic) may judge some documents, several times or with NULLs (the worst judgement
     counts, NULL is none); without labels the heuristics decide alone.
     """
-    spark = docs.sparkSession
     columns = docs.columns
     lang = F.col("lang") if "lang" in columns else F.lit(None).cast("string")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"), lang.alias("lang"))
@@ -255,8 +268,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     buckets = buckets.combine_chunks() if isinstance(buckets, pa.ChunkedArray) else buckets
     flat = buckets.flatten().to_numpy(zero_copy_only=False)
     owner = np.repeat(np.arange(kept.num_rows, dtype=np.int32), np.diff(buckets.offsets.to_numpy()))
-    del spark
-    return Model({t: train(owner, flat, kept[t].to_numpy(), PENALTY[t]) for t in TASKS}, accuracies, priors)
+    targets = {t: kept[t].to_numpy() for t in TASKS}
+    owner, flat = frequent(owner, flat)
+    del kept, buckets  # the driver holds one copy of the sample
+    return Model({t: train(owner, flat, targets[t], PENALTY[t]) for t in TASKS}, accuracies, priors)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
