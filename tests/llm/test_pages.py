@@ -87,3 +87,21 @@ def test_quotes(spark):
     assert quotes.conversations(docs.limit(0)).count() == 0
     twice = quotes.conversations(docs.union(docs))
     assert twice.count() == 2 * len(MESSAGES)
+
+
+def test_threads_over_blocks_of_turns(spark):
+    rng = random.Random(11)
+    line = "The same passage said over and over."
+    turns = sorted(rng.sample(range(-3, 5 << quotes.TURN_BITS), 60))
+    kinds = {t: rng.choice(["said", "quoted", "other", "other"]) for t in turns}
+    texts = {"said": line, "quoted": f"> {line}\nyes", "other": "nothing of the kind"}
+    docs = spark.createDataFrame([(7, t, "user", texts[k]) for t, k in kinds.items()], "conv_id bigint, turn bigint, role string, text string")
+    parent, depth = {}, {}
+    for i, t in enumerate(turns):
+        said = [s for s in turns[:i] if kinds[s] == "said"]
+        parent[t] = said[-1] if kinds[t] == "quoted" and said else turns[i - 1] if i else None
+        depth[t] = depth[parent[t]] + 1 if i else 0
+    got = {r["turn"]: r for r in quotes.linked(docs).collect()}
+    assert {t: r["parent_turn"] for t, r in got.items()} == parent
+    assert {t: r["depth"] for t, r in got.items()} == depth
+    assert {(r["thread_conv"], r["thread_turn"]) for r in got.values()} == {(7, turns[0])}
