@@ -1,8 +1,9 @@
 """Weak labels: labellers that overlap, their accuracies by expectation-maximisation, and a hashed linear scorer.
 
-Heuristic labellers vote bad, fine or nothing on each document; where a table of judgements has the document, that is one
-more labeller.  EM over the counts of vote patterns of all documents (there are few patterns, however many documents)
-gives each labeller's accuracy and each pattern's posterior.  Posteriors train a sparse logistic scorer on hashed words,
+Heuristic labellers vote on each document: those that look for one defect say bad or nothing, those that look for a sound
+text say fine or nothing.  Where a table of judgements has the document, that is one more labeller.  EM over the counts of
+vote patterns of all documents (there are few patterns, however many documents) gives each labeller's accuracy, that is how
+often it is right when it votes, and each pattern's posterior; silence tells nothing.  Posteriors train a sparse logistic scorer on hashed words,
 word beginnings and shape features, and the scorer alone decides.  Quality and toxicity are two such models.
 """
 
@@ -28,9 +29,11 @@ INSULTS = (
 BUCKETS = 1 << 18
 #: Judged documents that train the scorers: the least by hash, whatever the size of the corpus.
 SAMPLE = 12_000
+#: With fewer judged documents than this, others that some labeller votes on join the sample.
+LEAST_JUDGED = 2_000
 #: Entries of the sample that training takes at a time.
 BLOCK = 1 << 19
-PREFIXES = (6, 7, 8)
+PREFIXES = (4, 6, 8)
 _rolling = Rolling(31)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -40,10 +43,12 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _SYMBOL = ~_WORD & ~_SPACE
 _SYMBOL[[ord(c) for c in ".,;:'\"()-?"]] = False
-QUALITY, TOXIC = ("symbols", "capitals", "echoes", "marks", "variety"), ("insults", "insult_share")
+QUALITY, TOXIC = ("symbols", "capitals", "echoes", "marks", "variety", "plain"), ("insults", "insult_share", "clean")
 TASKS = ("quality", "toxic")
 #: L1 penalty of each scorer, from held-out judgements: quality shows in a few shapes, abuse in many words.
-PENALTY = {"quality": 0.008, "toxic": 0.002}
+PENALTY = {"quality": 0.008, "toxic": 0.003}
+#: A labeller that votes is right more often than not, and none is beyond doubt.
+LEAST_RIGHT, MOST_RIGHT = 0.55, 0.999
 
 
 def _insult_hashes() -> np.ndarray:
@@ -63,8 +68,8 @@ class Shapes:
     bucket: np.ndarray
 
 
-def _vote(value: np.ndarray, bad: float, fine: float) -> np.ndarray:
-    return np.where(value > bad, 1, np.where(value < fine, 0, -1))
+def _votes_where(mask: np.ndarray, vote: int) -> np.ndarray:
+    return np.where(mask, vote, -1)
 
 
 def shapes(texts: list[bytes], english: np.ndarray, features: bool = True) -> Shapes:
@@ -101,11 +106,12 @@ def shapes(texts: list[bytes], english: np.ndarray, features: bool = True) -> Sh
     echoes, marks, variety = per(np.bincount(of[echo], minlength=n), count), per(bare, token_count), 1 - per(distinct, count)
     long = np.where(count >= 40, variety, 0.5)  # short texts repeat few words anyway
     few = count < 3
+    sound = (symbols < 0.03) & (capitals < 0.15) & (echoes < 0.03) & (marks < 0.08) & ((count < 40) | (variety < 0.8))
     votes = np.stack(
         [
-            _vote(symbols, 0.08, 0.03), _vote(capitals, 0.5, 0.15), _vote(echoes, 0.3, 0.03), _vote(marks, 0.3, 0.08),
-            np.where(count >= 40, _vote(long, 0.8, 0.6), -1),
-            np.where(insults > 0, 1, np.where(english & ~few, 0, -1)), np.where(insults > 0, _vote(per(insults, count), 0.002, 0.0), -1),
+            _votes_where(symbols > 0.08, 1), _votes_where(capitals > 0.5, 1), _votes_where(echoes > 0.3, 1), _votes_where(marks > 0.3, 1),
+            _votes_where((count >= 40) & (variety > 0.8), 1), _votes_where(sound, 0),
+            _votes_where(insults > 0, 1), _votes_where(per(insults, count) > 0.002, 1), _votes_where((insults == 0) & english & ~few, 0),
         ],
         axis=1,
     )
@@ -132,22 +138,22 @@ def shapes(texts: list[bytes], english: np.ndarray, features: bool = True) -> Sh
 def expectation_maximisation(patterns: np.ndarray, counts: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, float]:
     """Posterior of bad for each vote pattern, P(vote | class) of each labeller ([labeller, class, vote + 1]), and the prior.
 
-    Labellers start 0.8 right when they vote; what they don't vote on tells as little as it does in both classes.
+    Labellers start 0.9 right when they vote.  Whether they vote is alike in both classes, so silence moves no posterior: a
+    judged document is not outvoted by labellers that look for something else.  The prior is that of documents with votes.
     """
-    k = patterns.shape[1]
-    prior = 0.15
-    known = np.full((k, 2, 3), 1 / 3)
-    known[:, 0, 1:], known[:, 1, 1:] = (0.8 * 2 / 3, 0.2 * 2 / 3), (0.2 * 2 / 3, 0.8 * 2 / 3)
+    bad, fine = (patterns == 1).astype(float), (patterns == 0).astype(float)
+    said, voted = counts @ (bad + fine), (patterns >= 0).any(axis=1)
+    right, prior = np.full(patterns.shape[1], 0.9), 0.15
+    post = np.full(len(counts), prior)
     for _ in range(rounds):
-        logs = np.log(known)
-        like = np.stack([sum(logs[j, c, patterns[:, j] + 1] for j in range(k)) for c in (0, 1)])
-        like += np.log([[1 - prior], [prior]])
-        post = 1 / (1 + np.exp(np.clip(like[0] - like[1], -60, 60)))
-        for c, share in enumerate((1 - post, post)):
-            for j in range(k):
-                known[j, c] = np.bincount(patterns[:, j] + 1, counts * share, 3) + 1.0
-                known[j, c] /= known[j, c].sum()
-        prior = float(np.clip((counts * post).sum() / counts.sum(), 1e-4, 0.5))
+        odds = np.log(right / (1 - right))
+        margin = (bad - fine) @ odds + np.log(prior / (1 - prior))
+        post = 1 / (1 + np.exp(-np.clip(margin, -60, 60)))
+        agreed = (counts * post) @ bad + (counts * (1 - post)) @ fine
+        right = np.clip((agreed + 4) / (said + 5), LEAST_RIGHT, MOST_RIGHT)
+        prior = float(np.clip((counts * post)[voted].sum() / max(1.0, counts[voted].sum()), 1e-4, 0.5))
+    silent = 1 - said / max(1.0, counts.sum())
+    known = np.stack([np.stack([silent, (1 - silent) * (1 - x), (1 - silent) * x], axis=1) for x in (1 - right, right)], axis=1)
     return post, known, prior
 
 
@@ -166,7 +172,7 @@ def frequent(owner: np.ndarray, bucket: np.ndarray, least: int = 3) -> tuple[np.
     return owner[keep], bucket[keep]
 
 
-def train(owner: np.ndarray, bucket: np.ndarray, target: np.ndarray, penalty: float, rounds: int = 100) -> tuple[np.ndarray, float]:
+def train(owner: np.ndarray, bucket: np.ndarray, target: np.ndarray, penalty: float, rounds: int = 250) -> tuple[np.ndarray, float]:
     """Weights and bias of a logistic scorer with an L1 penalty, by accelerated proximal steps over the whole sample."""
     n = len(target)
     if not n:
@@ -236,8 +242,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     names = [*QUALITY, *TOXIC]
     votes = rows.mapInArrow(_votes, "doc_id bigint, " + ", ".join(f"{c} tinyint" for c in names))
     votes = votes.join(judged, "doc_id", "left")
-    votes = votes.withColumns({c: F.coalesce(c, F.lit(-1)).cast("tinyint") for c in ("j_quality", "j_toxic")})
-    # 3**9 patterns at most.
+    # Few bytes a row, read for the counts and for the sample: the texts are not voted on again.
+    votes = stored(votes.withColumns({c: F.coalesce(c, F.lit(-1)).cast("tinyint") for c in ("j_quality", "j_toxic")}), "votes")
+    # 2**9 patterns by 9 judgements at most, of which those that occur come back.
     table = votes.groupBy(*names, "j_quality", "j_toxic").agg(F.count("*").alias("n")).collect()
     own = {"quality": [*QUALITY, "j_quality"], "toxic": [*TOXIC, "j_toxic"]}
     posterior, accuracies, priors = {}, {}, {}
@@ -248,30 +255,43 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             counts[key] = counts.get(key, 0) + r["n"]
         patterns = np.array(list(counts) or [(-1,) * len(voters)], np.int64)
         post, known, priors[task] = expectation_maximisation(patterns, np.array(list(counts.values()) or [1], float))
-        posterior[task] = dict(zip(map(tuple, patterns.tolist()), post.tolist(), strict=True))
-        right = known[:, 0, 1] * (1 - priors[task]) + known[:, 1, 2] * priors[task]
-        accuracies[task] = {c: float(right[j] / max(1e-9, right[j] + known[j, 0, 2] * (1 - priors[task]) + known[j, 1, 1] * priors[task])) for j, c in enumerate(voters)}
+        # Where nobody votes there is nothing to learn from.
+        learnt = [(*p, q) for p, q in zip(patterns.tolist(), post.tolist(), strict=True) if max(p) >= 0]
+        schema = ", ".join([*(f"{c} tinyint" for c in voters), f"{task} double"])
+        posterior[task] = docs.sparkSession.createDataFrame(learnt, schema)
+        accuracies[task] = {c: float(known[j, 1, 2] / max(1e-9, known[j, 1, 1:].sum())) for j, c in enumerate(voters)}
 
-    # The judged documents of least hash; where few are judged, others join them.
+    # The judged documents of least hash; where few are judged, others that have votes join them.
     has = (F.col("j_quality") >= 0) | (F.col("j_toxic") >= 0)
     n_docs, n_judged = sum(r["n"] for r in table), sum(r["n"] for r in table if r["j_quality"] >= 0 or r["j_toxic"] >= 0)
     pick = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
     near = votes.where(has & (pick < sample / max(1, n_judged)))
-    rest = votes.where(~has & (pick < max(0, sample - n_judged) / max(1, n_docs - n_judged)))
+    wanted = sample - n_judged if n_judged < min(sample, LEAST_JUDGED) else 0
+    rest = votes.where(~has & (pick < wanted / max(1, n_docs - n_judged)))
     chosen = stored(near.union(rest).dropDuplicates(["doc_id"]), "sample")
-    lookup = {t: posterior[t] for t in TASKS}
-    soft = {t: F.udf(lambda *v, p=lookup[t]: float(p.get(tuple(v), 0.0)), DoubleType()) for t in TASKS}
-    chosen = chosen.select("doc_id", *(soft[t](*own[t]).alias(t) for t in TASKS))
+    for task in TASKS:
+        chosen = chosen.join(F.broadcast(posterior[task]), own[task], "left")
+    chosen = chosen.select("doc_id", *TASKS)
     learnt = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "lang", *TASKS).mapInArrow(_features, "doc_id bigint, quality double, toxic double, buckets array<int>")
     kept = learnt.toArrow()
     buckets = kept["buckets"].combine_chunks()
     buckets = buckets.combine_chunks() if isinstance(buckets, pa.ChunkedArray) else buckets
     flat = buckets.flatten().to_numpy(zero_copy_only=False)
     owner = np.repeat(np.arange(kept.num_rows, dtype=np.int32), np.diff(buckets.offsets.to_numpy()))
-    targets = {t: kept[t].to_numpy() for t in TASKS}
+    targets = {t: kept[t].to_numpy(zero_copy_only=False) for t in TASKS}  # NaN where the task has no vote
     owner, flat = frequent(owner, flat)
     del kept, buckets  # the driver holds one copy of the sample
-    return Model({t: train(owner, flat, targets[t], PENALTY[t]) for t in TASKS}, accuracies, priors)
+    return Model({t: _trained(owner, flat, targets[t], PENALTY[t]) for t in TASKS}, accuracies, priors)
+
+
+def _trained(owner: np.ndarray, bucket: np.ndarray, target: np.ndarray, penalty: float) -> tuple[np.ndarray, float]:
+    """``train`` over the documents that have a target."""
+    has = ~np.isnan(target)
+    if has.all():
+        return train(owner, bucket, target, penalty)
+    place = (np.cumsum(has) - 1).astype(np.int32)
+    keep = has[owner]
+    return train(place[owner[keep]], bucket[keep], target[has], penalty)
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
