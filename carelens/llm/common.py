@@ -148,7 +148,7 @@ class WordMemo:
     def _clear(self) -> None:
         self.bits = 12
         self.slots = np.full(1 << self.bits, -1, np.int64)
-        self.keys, self.start, self.length = (np.zeros(0, t) for t in (np.uint64, np.int64, np.int64))
+        self.keys, self.start, self.length = (np.zeros(1 << 11, t) for t in (np.uint64, np.int64, np.int64))
         self.flat, self.n, self.filled = np.zeros(1 << 12, np.int32), 0, 0
 
     def _find(self, keys: np.ndarray) -> np.ndarray:
@@ -183,11 +183,13 @@ class WordMemo:
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         if total:
             self.flat[self.filled : self.filled + total] = np.concatenate(coded)
-        first = self.n
-        self.start = np.concatenate([self.start, self.filled + np.cumsum(lengths) - lengths])
-        self.length = np.concatenate([self.length, lengths])
-        self.keys = np.concatenate([self.keys, keys])
-        self.filled, self.n = self.filled + total, first + len(words)
+        first, end = self.n, self.n + len(words)
+        while end > len(self.keys):  # room grows by doubling: a batch with a few new words copies nothing
+            for name in ("keys", "start", "length"):
+                setattr(self, name, np.concatenate([getattr(self, name), np.zeros_like(getattr(self, name))]))
+        self.start[first:end] = self.filled + np.cumsum(lengths) - lengths
+        self.length[first:end], self.keys[first:end] = lengths, keys
+        self.filled, self.n = self.filled + total, end
         if self.n * 2 > 1 << self.bits:
             while self.n * 3 > 1 << self.bits:
                 self.bits += 1
