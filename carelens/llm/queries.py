@@ -22,7 +22,7 @@ def _vocabulary(name: str) -> str:
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from carelens.llm.suffix_dedup import removal_digest
 
-    return removal_digest(_table(spark, sf_dir, "documents"))
+    return removal_digest(_table(spark, sf_dir, "documents"), texts=True)
 
 
 def op2_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:

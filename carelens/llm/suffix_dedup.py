@@ -365,6 +365,11 @@ def _kept(text: bytes, spans: list | None) -> tuple[int, int, list[tuple[int, in
     return removed, runs, stay
 
 
+def _readable(text: bytes, stay: list[tuple[int, int]]) -> str:
+    """The runs that stay as text, without characters of which only a part is left."""
+    return "".join(text[a:b].decode("utf-8", "ignore") for a, b in stay)
+
+
 def _with_spans(docs: DataFrame, width: int, group: int) -> tuple[DataFrame, DataFrame]:
     rows = numbered(docs, "rid")
     texts = rows.select("rid", whole_text().alias("text"))
@@ -373,16 +378,20 @@ def _with_spans(docs: DataFrame, width: int, group: int) -> tuple[DataFrame, Dat
     return rows, spans.groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
-def removal_digest(docs: DataFrame, width: int = 400, group: int = GROUP) -> DataFrame:
+def removal_digest(docs: DataFrame, width: int = 400, group: int = GROUP, texts: bool = False) -> DataFrame:
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 (what stays, concatenated).
 
+    With ``texts`` also ``kept_text``, what stays as text: a character of which a part went is left out of it.  Passages of fewer bytes than
+    ``width`` stay, as 400 bytes are about 65 words; ``without_repeats`` takes a smaller width.
+
     A NULL text is empty.  Rows that repeat a doc_id are documents of their own; so are rows with a NULL one.  Other
     columns are ignored; an empty table gives no rows.
     """
     found, spans = _with_spans(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), width, group)
-    texts = found.select("rid", whole_text().alias("text"))
-    packed = texts.mapInArrow(_packed, "rid bigint, packed binary")
+    packed = found.select("rid", whole_text().alias("text")).mapInArrow(_packed, "rid bigint, packed binary")
     rows = packed.join(found.select("rid", "doc_id"), "rid").join(spans, "rid", "left").select("doc_id", "packed", "spans")
+    columns = {"doc_id": pa.int64(), "n_bytes": pa.int64(), "n_removed": pa.int64(), "n_spans": pa.int64(), "kept_sha256": pa.string()}
+    columns |= {"kept_text": pa.string()} if texts else {}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = zstandard.ZstdDecompressor()
@@ -392,15 +401,11 @@ def removal_digest(docs: DataFrame, width: int = 400, group: int = GROUP) -> Dat
                 text = open_.decompress(text)
                 removed, runs, stay = _kept(text, own)
                 digest = hashlib.sha256(b"".join(text[a:b] for a, b in stay)).hexdigest()
-                out.append((doc_id, len(text), removed, runs, digest))
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-            columns = list(zip(*out, strict=True))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
-            )
+                out.append((doc_id, len(text), removed, runs, digest, *([_readable(text, stay)] if texts else [])))
+            values = list(zip(*out, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, columns.values(), strict=True)], names=list(columns))
 
-    return rows.mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    return rows.mapInArrow(run, ", ".join(f"{c} {'bigint' if t == pa.int64() else 'string'}" for c, t in columns.items()))
 
 
 def without_repeats(docs: DataFrame, width: int = 400, group: int = GROUP) -> DataFrame:
@@ -420,8 +425,7 @@ def without_repeats(docs: DataFrame, width: int = 400, group: int = GROUP) -> Da
             for i, own in enumerate(batch.column(len(names)).to_pylist()):
                 if own and texts[i] is not None:
                     raw = texts[i].encode("utf-8")
-                    stay = _kept(raw, own)[2]
-                    texts[i] = "".join(raw[a:b].decode("utf-8", "ignore") for a, b in stay)
+                    texts[i] = _readable(raw, _kept(raw, own)[2])
             columns = [pa.array(texts, pa.string()) if k == place else batch.column(k) for k in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
