@@ -4,7 +4,8 @@
    all shingles in a sketch of fixed size, which orders them from rare to frequent (ties by hash).
 2. Two sets of the wanted similarity share one of their first ``n - ceil(t n) + 1`` shingles in that order.  Those rows
    meet by shingle; pairs that sizes and places in the order rule out are dropped.  Short lists give all their pairs,
-   long ones a few that connect them; pairs of long lists that are still unconnected at the end are compared as well.
+   long ones a few that connect them; members of long lists that are still unconnected at the end are all compared, block
+   of members by block, each pair of blocks a group of its own.
 3. Candidates are counted over fragments: the order is cut by shingle hash, each fragment of a group of candidates is
    counted apart, and a pair's partial overlaps are summed.
 """
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import Rolling, chunks, joined, mix, partitions, slices, stored, whole_text
+from carelens.llm.common import Rolling, chunks, joined, mix, numbered, partitions, slices, stored, whole_text
 from carelens.llm.components import components
 
 #: The sketch has 2**SKETCH_BITS counters, whatever the input; it is cut into SLICES rows.
@@ -28,11 +29,13 @@ SKETCH_BITS, SLICES = 20, 64
 #: Lists of up to this many nodes give all their pairs at once.
 SHORT_LIST = 8
 #: Shingles of one fragment of a group of candidates.
-FRAGMENT = 2_000_000
+FRAGMENT = 500_000
 #: Bits of a set's parity sketch: the bits in which two sketches differ are no more than the shingles in which the sets do.
 PARITY_BITS = 1024
 #: In a long list each node is paired with so many that follow it.
 NEXT = 4
+#: Members of a long list that are compared at once with as many others.
+BLOCK = 2048
 #: Lists of a shingle this much above the mean count are dealt over SALTS tasks.
 HOT, SALTS = 8, 16
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -114,17 +117,17 @@ def _profile(size: int):
                 n, seen = len(counts), True
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(a, n), pa.array(counts), pa.array(_fingerprints(shingles, counts)),
+                        batch.column(0).slice(a, n), batch.column(2).slice(a, n), pa.array(counts), pa.array(_fingerprints(shingles, counts)),
                         pa.array(_parities(shingles, counts), pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
                     ],
-                    names=["doc_id", "n", "node", "parity", "slice", "counts"],
+                    names=["doc_id", "row", "n", "node", "parity", "slice", "counts"],
                 )
         if seen:
             parts = [x.astype("<u4").tobytes() for x in np.split(sketch, SLICES)]
             none = pa.nulls(SLICES, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [none, none, none, pa.nulls(SLICES, pa.binary()), pa.array(np.arange(SLICES, dtype=np.int32)), pa.array(parts, pa.binary())],
-                names=["doc_id", "n", "node", "parity", "slice", "counts"],
+                [none, none, none, none, pa.nulls(SLICES, pa.binary()), pa.array(np.arange(SLICES, dtype=np.int32)), pa.array(parts, pa.binary())],
+                names=["doc_id", "row", "n", "node", "parity", "slice", "counts"],
             )
 
     return run
@@ -172,7 +175,8 @@ def _prefixes(size: int, percent: int, levels):
                 keep = place < n - -(-n * percent // 100) + 1
                 shingles, level, of, place, n = shingles[order][keep], level[order][keep], of[keep], place[keep], n[keep]
                 node = nodes[of]
-                salt = (mix(shingles ^ node.view(np.uint64)) % np.uint64(SALTS)).astype(np.int16)
+                # Salts from 1 on: whatever bucket of a hot shingle's list a row lies in, it is known as a part of it.
+                salt = (mix(shingles ^ node.view(np.uint64)) % np.uint64(SALTS)).astype(np.int16) + np.int16(1)
                 salt[level < hot] = 0
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shingles.view(np.int64)), pa.array(salt), pa.array(node), pa.array(n.astype(np.int32)), pa.array(place.astype(np.int32))],
@@ -213,7 +217,8 @@ def _lists(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["a", "b", "shingle", "n", "place"]
 
-        def worked(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        def worked(rows: list[np.ndarray], parts: np.ndarray) -> Iterator[pa.RecordBatch]:
+            """``parts`` tells whether the first list began before these rows, and whether the last one goes on."""
             shingle, salt, node, n, place = rows
             if not len(node):
                 return
@@ -232,7 +237,10 @@ def _lists(percent: int):
                     [pa.array(pairs[0]), pa.array(pairs[1]), pa.nulls(m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32())], names=names
                 )
             sizes = np.diff(np.append(key, len(node)))
-            long = np.repeat((sizes > SHORT_LIST) | (salt[key] > 0), sizes)
+            listed = (sizes > SHORT_LIST) | (salt[key] > 0)
+            listed[0] |= parts[0]
+            listed[-1] |= parts[1]
+            long = np.repeat(listed, sizes)
             if long.any():
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(node[long]), pa.nulls(int(long.sum()), pa.int64()), pa.array(shingle[long]), pa.array(n[long]), pa.array(place[long])],
@@ -240,46 +248,80 @@ def _lists(percent: int):
                 )
 
         held: list[np.ndarray] | None = None
+        begun = False
         for batch in batches:
             rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             if held is not None:
                 rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
             # The last list may go on in the next batch; a very long one is worked in runs that share a node.
             ends = np.flatnonzero((np.diff(rows[0]) != 0) | (np.diff(rows[1]) != 0))
-            cut = int(ends[-1]) + 1 if len(ends) else (len(rows[0]) - 1 if len(rows[0]) > 200_000 else 0)
-            yield from worked([x[:cut] for x in rows])
-            held = [x[cut:] for x in rows]
+            long_run = not len(ends) and len(rows[0]) > 200_000
+            cut = len(rows[0]) - 1 if long_run else (int(ends[-1]) + 1 if len(ends) else 0)
+            if cut:
+                yield from worked([x[: cut + long_run] for x in rows], (begun, long_run))
+                held, begun = [x[cut:] for x in rows], long_run
+            else:
+                held = rows
         if held is not None:
-            yield from worked(held)
+            yield from worked(held, (begun, False))
 
     return run
 
 
 def _unconnected(percent: int):
-    """Pairs of one list that lie in different components and can reach the similarity, compared in blocks."""
+    """Pairs of two blocks of one list that lie in different components and can reach the similarity."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        node, n, place, part = (rows[c].to_numpy() for c in ("a", "n", "place", "component"))
-        parity = np.frombuffer(b"".join(rows["parity"]), np.uint64).reshape(len(node), -1)
-        out = []
-        for i in range(0, len(node), 1024):
-            x = slice(i, i + 1024)
-            for j in range(i, len(node), 1024):
-                y = slice(j, j + 1024)
-                ok = (part[x, None] != part[None, y]) & _possible(n[x, None], place[x, None], n[None, y], place[None, y], percent)
-                u, v = np.nonzero(ok)
-                u, v = u + i, v + j
-                differ = np.bitwise_count(parity[u] ^ parity[v]).sum(axis=1).astype(np.int64)
-                least = -(-percent * (n[u] + n[v]) // (100 + percent))
-                near = differ <= n[u] + n[v] - 2 * least
-                out.append(np.stack([node[u[near]], node[v[near]]]))
-        both = np.concatenate(out, axis=1)
-        both = np.unique(np.sort(both, axis=0), axis=1)
+        # The last part of the key tells a block that meets itself.
+        left, right = (rows, rows) if key[-1] else (rows[rows["side"] == k] for k in (0, 1))
+        (u, n1, p1, c1), (v, n2, p2, c2) = ([x[c].to_numpy() for c in ("a", "n", "place", "component")] for x in (left, right))
+        # Parity bits as 1 and -1: a matrix product counts those that agree.
+        s1, s2 = (
+            np.unpackbits(np.frombuffer(b"".join(x["parity"]), np.uint8).reshape(len(x), -1), axis=1).astype(np.float32) * 2 - 1 for x in (left, right)
+        )
+        out = [np.zeros((2, 0), np.int64)]
+        for i in range(0, len(u), 256):
+            x = slice(i, i + 256)
+            both = n1[x, None].astype(np.int64) + n2[None, :]
+            least = -(-percent * both // (100 + percent))
+            differ = (PARITY_BITS - s1[x] @ s2.T) / 2
+            ok = (np.minimum((n1 - p1)[x, None], (n2 - p2)[None, :]) >= least) & (differ <= both - 2 * least + 0.25)
+            ok &= c1[x, None] != c2[None, :]
+            j, k = np.nonzero(ok)
+            out.append(np.stack([u[x][j], v[k]]))
+        both = np.unique(np.sort(np.concatenate(out, axis=1), axis=0), axis=1)
         return pd.DataFrame({"a": both[0], "b": both[1]})
 
     return run
 
 
+def _block_pairs(rest: DataFrame, percent: int) -> DataFrame:
+    """Rows of open lists, each sent to the pairs of blocks that it is to be compared in: (shingle, x, y, same, side, ...).
+
+    A list is cut by classes of sizes, of which only neighbours can reach the similarity, and each class by hash into
+    blocks of about ``BLOCK`` members.
+    """
+    step = math.log(100 / percent) if percent < 100 else 1.0
+    rest = rest.withColumn("class", F.floor(F.log(F.col("n").cast("double")) / F.lit(step) + F.lit(1e-9)).cast("int"))
+    rest = rest.withColumn("salt", F.pmod(F.xxhash64("a"), F.lit(SALTS)))
+    counts = rest.groupBy("shingle", "class").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
+    # Numbers of blocks of the class and of its neighbours; salted, as a long list is many rows of one key.
+    near = counts.select("shingle", F.explode(F.array(*(F.struct((F.col("class") + d).alias("class"), F.lit(-d).alias("d")) for d in (-1, 0, 1)))).alias("x"), "blocks")
+    near = near.select("shingle", "x.class", "x.d", "blocks").groupBy("shingle", "class").agg(
+        *(F.coalesce(F.max(F.when(F.col("d") == d, F.col("blocks"))), F.lit(0)).alias(name) for d, name in ((-1, "below"), (0, "own"), (1, "above")))
+    )
+    near = near.where("own > 0").withColumn("salt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")))
+    rows = rest.join(near, ["shingle", "class", "salt"]).withColumn("block", F.pmod(F.xxhash64("a", F.lit("block")), F.col("own")))
+    place = "named_struct('c', class, 'k', block)"
+    upto = lambda n: f"CASE WHEN {n} > 0 THEN sequence(0L, {n} - 1) ELSE array() END"
+    as_left = f"transform(sequence(block, own - 1), j -> named_struct('x', {place}, 'y', named_struct('c', class, 'k', j), 'side', 0))"
+    as_left_up = f"transform({upto('above')}, j -> named_struct('x', {place}, 'y', named_struct('c', class + 1, 'k', j), 'side', 0))"
+    as_right = f"transform({upto('block')}, j -> named_struct('x', named_struct('c', class, 'k', j), 'y', {place}, 'side', 1))"
+    as_right_up = f"transform({upto('below')}, j -> named_struct('x', named_struct('c', class - 1, 'k', j), 'y', {place}, 'side', 1))"
+    sent = rows.select("shingle", "a", "n", "place", "component", "parity", F.explode(F.expr(f"concat({as_left}, {as_left_up}, {as_right}, {as_right_up})")).alias("to"))
+    return sent.select("shingle", "to.x", "to.y", F.expr("to.x = to.y").alias("same"), "to.side", "a", "n", "place", "component", "parity")
+
+
 def _fragments(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -333,11 +375,11 @@ def _verified(texts: DataFrame, profile: DataFrame, pairs: DataFrame, size: int,
     """The candidate pairs that reach the similarity."""
     n_parts = partitions(texts.sparkSession)
     groups = components(pairs).select(F.col("id").alias("node"), F.col("component").alias("g"))
-    one = profile.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
+    one = profile.groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"))
     wanted = one.join(groups, "node")
     cuts = wanted.groupBy("g").agg(F.ceil(F.sum("n") / F.lit(FRAGMENT)).cast("int").alias("cuts"))
     wanted = wanted.join(cuts, "g")
-    chosen = texts.join(wanted.select("doc_id", "node", "g", "cuts"), "doc_id")
+    chosen = texts.join(wanted.select("row", "node", "g", "cuts"), "row")
     sets = chosen.select("text", "node", "g", "cuts").mapInArrow(
         _fragments(size), "g bigint, fragment int, a bigint, n int, own binary"
     )
@@ -357,15 +399,15 @@ def shingle_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text).
 
     Documents link when their shingle sets have a Jaccard similarity of ``percent`` / 100 at least; the component is the
-    least doc_id that links reach.  A NULL or blank text has no shingles and no link.  Rows that repeat a doc_id count
-    with the first text of that id by order; rows with a NULL doc_id link with nothing and have no component.  Other
-    columns are ignored, an empty table gives no rows.
+    least doc_id that links reach.  A NULL or blank text has no shingles and no link.  Every row counts with its own text,
+    also where rows repeat a doc_id; rows with a NULL doc_id link with nothing and have no component.  Other columns are
+    ignored, an empty table gives no rows.
     """
     spark = docs.sparkSession
     n_parts = partitions(spark)
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text"))
-    seen = stored(texts.mapInArrow(_profile(size), "doc_id bigint, n bigint, node bigint, parity binary, slice int, counts binary"), "profile")
-    profile = seen.where("slice is null").select("doc_id", "n", "node")
+    texts = numbered(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), whole_text().alias("text")), "row")
+    seen = stored(texts.mapInArrow(_profile(size), "doc_id bigint, row bigint, n bigint, node bigint, parity binary, slice int, counts binary"), "profile")
+    profile = seen.where("slice is null").select("doc_id", "row", "n", "node")
     levels = spark.sparkContext.broadcast(_levels(seen.where("slice is not null").select("slice", "counts")))
     filled = profile.where("n > 0 and doc_id is not null")
 
@@ -385,7 +427,8 @@ def shingle_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     rest = members.join(open_.select("shingle"), "shingle", "left_semi")
     sketches = seen.where("slice is null and n > 0").groupBy(F.col("node").alias("a")).agg(F.first("parity").alias("parity"))
     rest = rest.join(sketches, "a")
-    more = rest.groupBy("shingle").applyInPandas(_unconnected(percent), "a bigint, b bigint").distinct()
+    sent = _block_pairs(rest, percent)
+    more = sent.groupBy("shingle", "x", "y", "same").applyInPandas(_unconnected(percent), "a bigint, b bigint").distinct()
     more = stored(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
     if not more.isEmpty():
         label = components(links.union(_verified(texts, filled, more, size, percent)))

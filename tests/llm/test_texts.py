@@ -252,3 +252,43 @@ def test_components(spark):
             part = {k: x if v == y else v for k, v in part.items()}
     got = components(spark.createDataFrame([*links, (None, 3)], "a bigint, b bigint")).collect()
     assert {r["id"]: r["component"] for r in got} == part
+
+
+def test_pairs_of_a_hot_shingle_alone(spark, monkeypatch):
+    """Every list counts as hot, so lists are dealt over salts: no linked pair may get lost between the buckets."""
+    monkeypatch.setattr(shingle_join, "HOT", -0.5)
+    rng = random.Random(3)
+    rows = []
+    for k in range(60):
+        base = words(rng, 40).split()
+        for j in range(2):
+            rows.append((2 * k + j, " ".join([*base, *(f"tail{k}{j}",) * j]), "en", "s", 1))
+    got = {r["doc_id"]: r["component_id"] for r in shingle_join.shingle_components(frame(spark, rows)).collect()}
+    assert got == {i: i - i % 2 for i in range(120)}
+
+
+def test_repeated_ids_count_with_their_own_texts(spark):
+    rng = random.Random(4)
+    one, two = words(rng, 60), words(rng, 60)
+    rows = [(1, one, "en", "s", 1), (1, two, "en", "s", 1), (2, one + " more", "en", "s", 1), (3, two + " more", "en", "s", 1)]
+    got = {r["doc_id"]: r["component_id"] for r in shingle_join.shingle_components(frame(spark, rows)).collect()}
+    assert got == {1: 1, 2: 1, 3: 1}
+
+
+def test_blocks_of_a_long_list_meet_once(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "BLOCK", 7)
+    rng = random.Random(5)
+    rows = [(1, i, rng.randint(20, 60), 0, i % 5, b"\0" * 128) for i in range(150)]
+    rest = spark.createDataFrame(rows, "shingle bigint, a bigint, n int, place int, component bigint, parity binary")
+    sent = shingle_join._block_pairs(rest, 80).toPandas()
+    sent["x"], sent["y"] = sent["x"].map(tuple), sent["y"].map(tuple)
+    met = {}
+    for (x, y, same), part in sent.groupby(["x", "y", "same"]):
+        left, right = (part, part) if same else (part[part["side"] == 0], part[part["side"] == 1])
+        for a in left["a"]:
+            for b in right["a"]:
+                if a != b:
+                    met.setdefault((min(a, b), max(a, b)), set()).add((x, y))
+    sizes = {r[1]: r[2] for r in rows}
+    wanted = {(a, b) for a in sizes for b in sizes if a < b and min(sizes[a], sizes[b]) >= 0.8 * max(sizes[a], sizes[b])}
+    assert wanted <= set(met) and all(len(v) == 1 for v in met.values())
