@@ -79,9 +79,30 @@ def op10_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return leak_digest(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.prefix_trie import prefix_trie
+
+    return prefix_trie(_table(spark, sf_dir, "conversations")).drop("node")
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.fill_middle import middle_digest
+
+    return middle_digest(_table(spark, sf_dir, "documents"))
+
+
+def op13_genetic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from carelens.llm.packing import packed_pieces
+
+    return packed_pieces(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from carelens.llm.fill_middle import MIDDLE_SQL
+    from carelens.llm.prefix_trie import TRIE_SQL
+
+    return {"op11_prefix_trie": TRIE_SQL, "op12_fill_in_middle": MIDDLE_SQL}
