@@ -106,6 +106,16 @@ ASCII_SPELLINGS = {
     "°": "deg", "œ": "oe", "æ": "ae", "ß": "ss", "ø": "o", "đ": "d", "ð": "d", "ł": "l", "þ": "th", "ı": "i",
     "’": "'", "‘": "'", "“": '"', "”": '"', "«": "<<", "»": ">>", "–": "-", "—": "--", "…": "...", "€": "EUR",
     "×": "x", "÷": "/", "±": "+-",
+    # Greek
+    "α": "a", "β": "b", "γ": "g", "δ": "d", "ε": "e", "ζ": "z", "η": "e", "θ": "th", "ι": "i", "κ": "k", "λ": "l",
+    "μ": "m", "ν": "n", "ξ": "x", "ο": "o", "π": "p", "ρ": "r", "ς": "s", "σ": "s", "τ": "t", "υ": "u", "φ": "ph",
+    "χ": "kh", "ψ": "ps", "ω": "o",
+    # Cyrillic
+    "а": "a", "б": "b", "в": "v", "г": "g", "д": "d", "е": "e", "ж": "zh", "з": "z", "и": "i", "й": "i", "к": "k",
+    "л": "l", "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s", "т": "t", "у": "u", "ф": "f", "х": "kh",
+    "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ъ": "'", "ы": "y", "ь": "'", "э": "e", "ю": "iu", "я": "ia",
+    "ё": "io", "ђ": "dj", "ѓ": "gj", "є": "ie", "ѕ": "dz", "і": "i", "ї": "yi", "ј": "j", "љ": "lj", "њ": "nj",
+    "ћ": "tsh", "ќ": "kj", "ў": "u", "џ": "dzh",
 }
 
 # Report labels in report order, by field id.

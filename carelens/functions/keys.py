@@ -16,30 +16,27 @@ def lit(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+# Keys are made without CASE, of parts that are always evaluated: what occurs several times in a text is then computed once
+# for a row (common subexpressions are not looked for inside the branches of a CASE).
+
+
 def canonical_key(key: str, kind: str = "string") -> str:
     """Identifier as text.  Keys that passed through a float (``10001234.0``) lose the decimal part."""
-    return _padded_key(key, kind, None)
+    if kind.startswith(FRACTIONAL):
+        return f"CAST(try_cast({key} AS BIGINT) AS STRING)"
+    if kind != "string":
+        return f"CAST({key} AS STRING)"
+    return f"left({key}, length({key}) - 2 * CAST(endswith({key}, '.0') AS INT))"
 
 
 def pad_code(code: str, short: int, fill: str = "0") -> str:
     """Give back the leading zero to codes of exactly ``short`` characters; leave every other text alone."""
-    return f"CASE WHEN length({code}) = {short} THEN concat({lit(fill)}, {code}) ELSE {code} END"
-
-
-def _padded_key(key: str, kind: str, short: int | None) -> str:
-    # Plain string operations: this runs on every row of every fact table, where a regular expression would show.
-    def pad(text: str) -> str:
-        return text if short is None else pad_code(text, short)
-
-    if kind.startswith(FRACTIONAL):
-        return pad(f"CAST(try_cast({key} AS BIGINT) AS STRING)")
-    text = key if kind == "string" else f"CAST({key} AS STRING)"
-    return f"CASE WHEN endswith({text}, '.0') THEN {pad(f'left({text}, length({text}) - 2)')} ELSE {pad(text)} END"
+    return f"concat(left({lit(fill)}, CAST(length({code}) = {short} AS INT)), {code})"
 
 
 def establishment_key(key: str, kind: str = "string") -> str:
     """Canonical 9-character establishment number."""
-    return _padded_key(key, kind, 8)
+    return pad_code(canonical_key(key, kind), 8)
 
 
 def never_null(key: str) -> str:
@@ -52,7 +49,7 @@ def never_null(key: str) -> str:
 
 def commune_key(key: str, kind: str = "string") -> str:
     """Canonical 5-character commune code."""
-    return _padded_key(key, kind, 4)
+    return pad_code(canonical_key(key, kind), 4)
 
 
 def prefix_key(label: str, n: int = 9) -> str:
@@ -65,30 +62,46 @@ def suffix_key(label: str, n: int = 9) -> str:
     return f"right({label}, {n})"
 
 
+#: The run of letters and digits that a composite label begins with, and the last one of a label, ``.0`` left out.
+_FIRST_RUN = r"^[^0-9A-Za-z]*([0-9A-Za-z]+)"
+_LAST_RUN = r"(?<![0-9A-Za-z])([0-9A-Za-z]++)(?:[.]0)?[^0-9A-Za-z]*$"
+
+
+def _run(label: str, pattern: str) -> str:
+    return f"regexp_extract({label}, {lit(pattern)}, 1)"
+
+
 def label_key(label: str, kind: str = "string") -> str:
     """Key of a composite label, or of a bare identifier that may have lost its zero or gained ``.0``.
 
-    The key is what stands before the first space or hyphen, its lost zero given back.
+    The key is the first run of letters and digits, whatever stands around it, its lost zero given back.
     """
     if kind != "string":
         return establishment_key(label, kind)
-    first = f"substring_index(substring_index(ltrim({label}), ' ', 1), '-', 1)"
-    return prefix_key(establishment_key(first))
+    return prefix_key(pad_code(_run(label, _FIRST_RUN), 8))
 
 
 def closing_key(label: str, kind: str = "string") -> str:
-    """Key at the end of a composite label, behind its last space; its lost zero is given back."""
+    """Key at the end of a composite label: the last run of letters and digits, its lost zero given back."""
     if kind != "string":
         return establishment_key(label, kind)
-    return suffix_key(establishment_key(f"substring_index(rtrim({label}), ' ', -1)"))
+    return suffix_key(pad_code(_run(label, _LAST_RUN), 8))
 
 
 def resolve_incident_key(declarant: str, location: str, declarant_kind: str = "string", location_kind: str = "string") -> str:
     """Establishment an incident belongs to: where it happened, or who declared it if no place is given.
 
-    When both name the same establishment the two branches are equal, so one NULL test decides.
+    When both name the same establishment the two branches are equal, so one NULL test decides.  The number is taken out
+    of either column first and gets its zero once.
     """
-    return (
-        f"CASE WHEN {location} IS NULL THEN {closing_key(declarant, declarant_kind)}"
-        f" ELSE {label_key(location, location_kind)} END"
+    def number(column: str, kind: str, pattern: str) -> str:
+        return _run(column, pattern) if kind == "string" else canonical_key(column, kind)
+
+    taken = (
+        f"CASE WHEN {location} IS NULL THEN {number(declarant, declarant_kind, _LAST_RUN)}"
+        f" ELSE {number(location, location_kind, _FIRST_RUN)} END"
     )
+    whole = pad_code(taken, 8)
+    if declarant_kind != "string" and location_kind != "string":
+        return whole
+    return f"if({location} IS NULL, {suffix_key(whole)}, {prefix_key(whole)})"

@@ -32,11 +32,15 @@ def contains_lowered(lowered: str, needle: str) -> str:
 
 
 def ascii_spelling(char: str) -> str:
-    """ASCII spelling of one character; empty when there is none."""
+    """ASCII spelling of one lower-case character; empty when there is none.
+
+    Listed spellings (symbols, ligatures, Greek and Cyrillic letters) come first; of other characters it is what Unicode
+    decomposition leaves: accents go, and letters that are left are spelt as listed.
+    """
     if char in ASCII_SPELLINGS:
         return ASCII_SPELLINGS[char]
-    decomposed = unicodedata.normalize("NFKD", char)
-    return decomposed.encode("ascii", "ignore").decode("ascii")
+    parts = unicodedata.normalize("NFKD", char)
+    return "".join(p if p.isascii() else ASCII_SPELLINGS.get(p, "") for p in parts)
 
 
 def normalise_name(name: str) -> str:
@@ -52,26 +56,26 @@ def respelled_letters() -> dict[str, str]:
     return {c: s.lower() for c, s in found.items() if s}
 
 
-def one_letter_spellings() -> tuple[str, str]:
-    """The accented letters of the Latin blocks that one letter stands for, and those letters."""
-    pairs = [(c, s) for c, s in respelled_letters().items() if len(s) == 1 and (c < "\u0250" or "\u1e00" <= c < "\u1f00")]
+@cache
+def _translation() -> tuple[str, str]:
+    """All characters that one letter stands for, of whatever script, and those letters."""
+    pairs = [(c, s) for c, s in respelled_letters().items() if len(s) == 1 and ord(c) < 0x10000]
     return "".join(c for c, _ in pairs), "".join(s for _, s in pairs)
 
 
 def slugify(text: str) -> str:
-    """The rule of ``normalise_name`` on values; only values with characters beyond ASCII are respelled.
+    """The rule of ``normalise_name`` on values.
 
-    Accented Latin letters take one translation.  Only values that then still hold a character beyond ASCII are looked
-    up character by character: ligatures, fractions, numerals and the like.
+    Values of ASCII characters are only lowered.  In others, characters with one-letter spellings are translated in one
+    pass; of what is then left beyond ASCII, each distinct character of the value is looked up and replaced once, however
+    often it occurs.
     """
-    lowered = f"lower({text})"
-    source, target = one_letter_spellings()
-    plain = f"translate({lowered}, {lit(source)}, {lit(target)})"
-    rest = {c: s for c, s in respelled_letters().items() if c not in source}
-    entries = ", ".join(f"{lit(c)}, {lit(s)}" for c, s in rest.items())
-    looked_up = f"array_join(transform(split({plain}, ''), c -> coalesce(element_at(map({entries}), c), c)), '')"
-    ascii_text = (
-        f"CASE WHEN octet_length({text}) = length({text}) THEN {lowered}"
-        f" WHEN octet_length({plain}) = length({plain}) THEN {plain} ELSE {looked_up} END"
-    )
+    source, target = _translation()
+    entries = ", ".join(f"{lit(c)}, {lit(s)}" for c, s in respelled_letters().items() if c not in source)
+    left = "array_distinct(split(regexp_replace(t, '[\\\\x00-\\\\x7F]+', ''), ''))"
+    spelt = f"aggregate({left}, t, (done, c) -> replace(done, c, coalesce(element_at(map({entries}), c), '')))"
+    respelt = f"if(octet_length(t) = length(t), t, {spelt})"
+    # Lambdas bind the text, so that it is computed once for all its uses.
+    translated = f"transform(array(translate(l, {lit(source)}, {lit(target)})), t -> {respelt})[0]"
+    ascii_text = f"transform(array(lower({text})), l -> if(octet_length(l) = length(l), l, {translated}))[0]"
     return f"regexp_replace(regexp_replace({ascii_text}, ' +', '_'), '{_DROPPED}', '')"

@@ -30,6 +30,13 @@ CASES = [
      ["010001234", "010001234", "010005678", None, "010001234", "010001234", "010001234", "010001234", "2A0001234"]),
     (keys.label_key("a"), "string", ["10001234 - NAME", "010001234 - NAME", "10001234.0", "2A0001234", None, "10001234-NAME"],
      ["010001234", "010001234", "010001234", "2A0001234", None, "010001234"]),
+    (keys.label_key("a"), "string", ["10001234_NOM", " (010001234) X", "- 10001234.0 - Y", "", " - "], ["010001234", "010001234", "010001234", "", ""]),
+    (keys.closing_key("a"), "string", ["ETAB (010001234)", "NAME-10001234", "ORG 10001234.0", "ORG 2A0001234 .", "", None, "x"],
+     ["010001234", "010001234", "010001234", "2A0001234", "", None, "x"]),
+    (keys.resolve_incident_key("a", "b", "bigint", "double"), "bigint,double",
+     [(10001234, None), (10001234, 10005678.0), (None, None)], ["010001234", "010005678", None]),
+    (keys.resolve_incident_key("a", "b", "bigint"), "bigint,string",
+     [(10001234, None), (10001234, "10005678 - X"), (None, "2A0001234")], ["010001234", "010005678", "2A0001234"]),
     (keys.label_key("a", "double"), "double", [10001234.0, None], ["010001234", None]),
     (text.address_line("a", "b", "c"), "string,string,string",
      [("12.0", "BIS", "RUE"), (None, "BIS", None), ("1.0", None, None), (None, None, None), ("12", None, "RUE"),
@@ -37,8 +44,8 @@ CASES = [
      ["12 BIS RUE", "BIS ", "1 ", "", "12 RUE", "12B RUE", "7 "]),
     (text.contains_text("a", "d?esthétique_"), "string",
      ["x D?ESTHÉTIQUE_ y", "d'esthétique_", "d?esthétiqueX", None], [True, False, False, None]),
-    (text.slugify("a"), "string", ["N° FINESS/RPPS", "Cœur  d’été - 2", "plain TEXT", None],
-     ["ndeg_finessrpps", "coeur_dete_-_2", "plain_text", None]),
+    (text.slugify("a"), "string", ["N° FINESS/RPPS", "Cœur  d’été - 2", "plain TEXT", None, "Привет Αθήνα", "Ψυχή щи ё", "Straße æß œœ", "漢字 x", ""],
+     ["ndeg_finessrpps", "coeur_dete_-_2", "plain_text", None, "privet_athena", "psukhe_shchi_io", "strasse_aess_oeoe", "_x", ""]),
     (numbers.lenient_int("a"), "string", ["12.7", " 12", "-3x", "abc", "", None], [12, 12, -3, None, None, None]),
     (numbers.lenient_int("a", "double"), "double", [12.7, -1.5, None], [12, -1, None]),
     (numbers.decimal_comma("a"), "string", ["12,5", " 7.25 ", "", "abc", "12d", "NaN", "1e3", None],
@@ -68,10 +75,17 @@ def test_literals_survive_quoting(spark):
 
 
 def test_names_agree_with_values(spark):
-    names = ["Taux d'absentéisme  2019", "ÀÉÎõü ßæ°", "a_b-c 9", "Ÿ – €", "ếǆﬁ ½ĳ①Ⅳ", "x\u00a0y"]
+    names = ["Привет, Αθήνα!", "ЩИ Ёж їжак ЉЊ", "ΨΥΧΉ ΰ Ώ", "Taux d'absentéisme  2019", "ÀÉÎõü ßæ°", "a_b-c 9", "Ÿ – €", "ếǆﬁ ½ĳ①Ⅳ", "x\u00a0y"]
     lowered = [text.normalise_name(n).lower() for n in names]
     assert [v.lower() for v in evaluate(spark, text.slugify("a"), "string", *names)] == lowered
 
 
 def test_run_stamp():
     assert dates.run_stamp(dt.date(2024, 1, 31)) == "31012024"
+
+
+def test_a_key_names_its_column_few_times():
+    """Common parts of a key are computed once; its text stays short."""
+    assert keys.label_key("x_y").count("x_y") <= 3 and keys.closing_key("x_y").count("x_y") <= 3
+    key = keys.resolve_incident_key("decl", "loc")
+    assert key.count("decl") <= 4 and len(key) < 1500
