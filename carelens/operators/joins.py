@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from carelens.functions.keys import canonical_key, commune_key, lit, named, ref
 from carelens.operators.clean import filter_in_list
+from carelens.operators.skew import HEAVY_ROWS, enrich_by_key
 
 # A side is broadcast only if its inputs are known to be below this size; beyond it Spark shuffles both sides.
 BROADCAST_BYTES = 16 * 1024 * 1024
@@ -85,19 +86,31 @@ def geo_enrich(
     return fact.join(places, key, "left" if codes is None else "inner")
 
 
-def star_enrich(fact: DataFrame, sides: Mapping[str, tuple[DataFrame, str, list[str]]], key: str = "finess") -> DataFrame:
+def star_enrich(
+    fact: DataFrame,
+    sides: Mapping[str, tuple[DataFrame, str, list[str]]],
+    key: str = "finess",
+    skew_check: str = "auto",
+    min_rows: int = HEAVY_ROWS,
+) -> DataFrame:
     """LEFT JOIN every side (frame, key column, columns to take) on one key of the fact.
 
-    All sides share the fact's key, so the fact is shuffled at most once however many sides there are.
+    All sides share the fact's key, so the fact is shuffled at most once however many sides there are; keys that hold very
+    many rows of the fact or of a side are joined over a grid of tasks (``enrich_by_key``).
     """
-    for frame, side_key, columns in sides.values():
-        fact = fact.join(frame.selectExpr(named(ref(side_key), key), *map(ref, columns)), key, "left")
-    return fact
+    taken = {name: frame.selectExpr(named(ref(own), key), *map(ref, columns)) for name, (frame, own, columns) in sides.items()}
+    return enrich_by_key(fact, taken, {}, key, [fact, *taken.values()], skew_check, min_rows)
 
 
-def expr_key_join(fact: DataFrame, side: DataFrame, computed: str, key: str = "finess") -> DataFrame:
-    """LEFT JOIN a side whose key has to be computed; the key becomes a column so the join stays an equi-join."""
-    return fact.join(side.selectExpr("*", named(computed, key)), key, "left")
+def expr_key_join(
+    fact: DataFrame, side: DataFrame, computed: str, key: str = "finess", skew_check: str = "auto", min_rows: int = HEAVY_ROWS
+) -> DataFrame:
+    """LEFT JOIN a side whose key has to be computed; the key becomes a column so the join stays an equi-join.
+
+    Heavy keys go the way of ``star_enrich``.
+    """
+    keyed = side.selectExpr("*", named(computed, key))
+    return enrich_by_key(fact, {"side": keyed}, {}, key, [fact, keyed], skew_check, min_rows)
 
 
 def anti_join_when(left: DataFrame, excluded: DataFrame, key: str, condition: str) -> DataFrame:

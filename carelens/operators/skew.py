@@ -5,15 +5,18 @@ more rows than one task should get of a key, keys are counted first.  Keys with
 arithmetic (at most one for so many rows of a table), whatever the data; their rows are taken out and joined over a grid
 of cells: left rows are spread over the grid's rows, right rows over its columns, and each side is copied along the other
 axis, so every pair meets in exactly one cell and no task holds a whole group.
+
+Heavy keys and their counts are a table in the shared folder; the driver learns how many there are, not which.
 """
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.functions.keys import lit, named, ref
+from carelens.functions.keys import named, ref
+from carelens.scratch import written
 
 # A group below this many rows is no burden to one task; it is also the number of rows aimed at per cell.
 HEAVY_ROWS = 200_000
@@ -35,21 +38,15 @@ def repeat_rows(df: DataFrame, times: str, identity: list[str]) -> DataFrame:
     return copied.selectExpr(*kept, f"xxhash64({', '.join([*map(ref, identity), '__chunk', '__copy'])}) AS __row")
 
 
-def heavy_keys(
-    frames: Mapping[str, DataFrame], key: str, min_rows: int = HEAVY_ROWS
-) -> dict[str | None, dict[str, int]]:
-    """Keys with more than ``min_rows`` rows in any frame, with their number of rows in every frame.
+def heavy_keys(frames: Sequence[DataFrame], key: str, min_rows: int = HEAVY_ROWS) -> DataFrame:
+    """(__key, n0, n1, …): the keys with more than ``min_rows`` rows in any frame, with their rows in each of them.
 
-    The counting is distributed; only the heavy keys come back, one for each ``min_rows`` rows of a frame at most.
+    One pass over the key columns: counts are added up before the only shuffle, so a heavy key is one row of each task.
     """
-    tagged = [f.selectExpr(f"{lit(name)} AS frame", named(ref(key), "key")) for name, f in frames.items()]
-    counts = reduce(DataFrame.unionByName, tagged).groupBy("frame", "key").agg(F.expr("count(1) AS n"))
-    distinct = counts.where(f"n > {min_rows}").selectExpr("key AS heavy").distinct()
-    rows = counts.join(distinct, F.expr("key <=> heavy")).select("frame", "key", "n")
-    found: dict[str | None, dict[str, int]] = {}
-    for row in rows.collect():
-        found.setdefault(row["key"], {})[row["frame"]] = row["n"]
-    return found
+    tagged = [f.selectExpr(f"{i} AS frame", named(ref(key), "__key")) for i, f in enumerate(frames)]
+    counts = [F.expr(f"count(CASE WHEN frame = {i} THEN 1 END) AS n{i}") for i in range(len(frames))]
+    seen = reduce(DataFrame.union, tagged).groupBy("__key").agg(*counts)
+    return seen.where(" OR ".join(f"n{i} > {min_rows}" for i in range(len(frames))))
 
 
 def _has_burden(inputs: Iterable[DataFrame], skew_check: str, min_rows: int) -> bool:
@@ -122,15 +119,17 @@ def enrich_by_key(
     ``skew_check`` is ``auto`` (count keys first if a table of ``measured`` has more than ``min_rows`` rows), ``always`` or ``never``.
     """
     sides = {**aggregates, **sources}
-    counted = {"": fact, **sources}
-    heavy = heavy_keys(counted, key, min_rows) if _has_burden([*measured], skew_check, min_rows) else {}
-    if not heavy:
+    if not _has_burden([*measured], skew_check, min_rows):
+        return _chain(fact, sides, key)
+    heavy = written(heavy_keys([fact, *sources.values()], key, min_rows), "heavy-keys")
+    n_heavy = heavy.count()  # from the footers of what was written
+    if not n_heavy:
         return _chain(fact, sides, key)
 
-    spark = fact.sparkSession
-    keys = spark.createDataFrame([(k,) for k in heavy], "__key string")
-    if len(heavy) <= BROADCAST_KEYS:
-        keys = F.broadcast(keys)
+    def sent(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if n_heavy <= BROADCAST_KEYS else df
+
+    keys = sent(heavy.select("__key"))
     is_heavy = F.expr(f"{ref(key)} <=> __key")
 
     def light(df: DataFrame) -> DataFrame:
@@ -139,22 +138,17 @@ def enrich_by_key(
     def burdened(df: DataFrame) -> DataFrame:
         return with_row_id(df).join(keys, is_heavy, "left_semi")
 
-    def cells(side: str, left_rows: dict[str | None, int]) -> DataFrame:
-        def fan(n: int) -> int:
-            return max(1, -(-n // min_rows))
-
-        def side_rows(k: str | None) -> int:
-            return heavy[k].get(side, 0) if side in sources and k is not None else 1  # a NULL key has no match
-
-        sizes = [(k, fan(left_rows[k]), fan(side_rows(k))) for k in heavy]
-        grid = spark.createDataFrame(sizes, "__key string, __rows bigint, __cols bigint")
-        return F.broadcast(grid) if len(sizes) <= BROADCAST_KEYS else grid
+    def fan(rows: str) -> str:
+        return f"CAST(least(greatest(1, ceil(({rows}) / {float(min_rows)})), 1000000000) AS BIGINT)"
 
-    left = burdened(fact)
-    left_rows = {k: counts.get("", 0) for k, counts in heavy.items()}
+    # Rows on the left grow with every side that repeats the key; a NULL key has no match.
+    left, left_rows = burdened(fact), "CAST(n0 AS DOUBLE)"
+    place = {name: i + 1 for i, name in enumerate(sources)}
     for name, side in sides.items():
-        left = _grid_join(left, burdened(side), key, cells(name, left_rows), name in sources)
-        if name in sources:
-            left_rows = {k: n * (max(1, heavy[k].get(name, 0)) if k is not None else 1) for k, n in left_rows.items()}
+        own = f"CASE WHEN __key IS NULL THEN 0 ELSE n{place[name]} END" if name in place else "1"
+        grid = sent(heavy.selectExpr("__key", f"{fan(left_rows)} AS __rows", f"{fan(own)} AS __cols"))
+        left = _grid_join(left, burdened(side), key, grid, name in sources)
+        if name in place:
+            left_rows = f"{left_rows} * greatest(1, {own})"
     regular = _chain(light(fact), {name: light(side) for name, side in sides.items()}, key)
     return regular.unionByName(left.drop("__row"))

@@ -1,7 +1,6 @@
 """One registered query per operator, over the test tables."""
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +13,7 @@ from carelens.operators import aggregates as A
 from carelens.operators import clean as C
 from carelens.operators import joins as J
 from carelens.plans import reports as R
+from carelens.scratch import scratch_dir
 from carelens.sources import delimited, headers, regions, sinks
 from carelens.testbed.views import base_tables, report_tables
 
@@ -37,12 +37,6 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder for files a query writes: below the cluster's shared folder, or the warehouse where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
-    return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return report_tables(spark, sf_dir, name)[name]
 
