@@ -268,33 +268,82 @@ def _lists(percent: int):
     return run
 
 
+def _near(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
+    """Pairs of (node, n, place, component, parity) rows in different components that can reach the similarity."""
+    (u, n1, p1, c1, s1), (v, n2, p2, c2, s2) = left, right
+    few = len(u) * len(v) <= 4096
+    if not few:
+        # Parity bits as 1 and -1: a matrix product counts those that agree.
+        s1, s2 = (np.unpackbits(x, axis=1).astype(np.float32) * 2 - 1 for x in (s1, s2))
+    out = [np.zeros((2, 0), np.int64)]
+    for i in range(0, len(u), 256):
+        x = slice(i, i + 256)
+        both = n1[x, None].astype(np.int64) + n2[None, :]
+        least = -(-percent * both // (100 + percent))
+        ok = (np.minimum((n1 - p1)[x, None], (n2 - p2)[None, :]) >= least) & (c1[x, None] != c2[None, :])
+        if not ok.any():
+            continue
+        differ = np.bitwise_count(s1[x, None] ^ s2[None, :]).sum(axis=2, dtype=np.int64) if few else (PARITY_BITS - s1[x] @ s2.T) / 2
+        j, k = np.nonzero(ok & (differ <= both - 2 * least + 0.25))
+        out.append(np.stack([u[x][j], v[k]]))
+    return np.unique(np.sort(np.concatenate(out, axis=1), axis=0), axis=1)
+
+
 def _unconnected(percent: int):
-    """Pairs of two blocks of one list that lie in different components and can reach the similarity."""
+    """The pairs of two blocks of one list as a frame; the last part of the key tells a block that meets itself."""
 
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        # The last part of the key tells a block that meets itself.
+        def taken(part: pd.DataFrame) -> list[np.ndarray]:
+            parity = np.frombuffer(b"".join(part["parity"]), np.uint8).reshape(len(part), -1)
+            return [*(part[c].to_numpy() for c in ("a", "n", "place", "component")), parity]
+
         left, right = (rows, rows) if key[-1] else (rows[rows["side"] == k] for k in (0, 1))
-        (u, n1, p1, c1), (v, n2, p2, c2) = ([x[c].to_numpy() for c in ("a", "n", "place", "component")] for x in (left, right))
-        # Parity bits as 1 and -1: a matrix product counts those that agree.
-        s1, s2 = (
-            np.unpackbits(np.frombuffer(b"".join(x["parity"]), np.uint8).reshape(len(x), -1), axis=1).astype(np.float32) * 2 - 1 for x in (left, right)
-        )
-        out = [np.zeros((2, 0), np.int64)]
-        for i in range(0, len(u), 256):
-            x = slice(i, i + 256)
-            both = n1[x, None].astype(np.int64) + n2[None, :]
-            least = -(-percent * both // (100 + percent))
-            differ = (PARITY_BITS - s1[x] @ s2.T) / 2
-            ok = (np.minimum((n1 - p1)[x, None], (n2 - p2)[None, :]) >= least) & (differ <= both - 2 * least + 0.25)
-            ok &= c1[x, None] != c2[None, :]
-            j, k = np.nonzero(ok)
-            out.append(np.stack([u[x][j], v[k]]))
-        both = np.unique(np.sort(np.concatenate(out, axis=1), axis=0), axis=1)
+        both = _near(taken(left), taken(right), percent)
         return pd.DataFrame({"a": both[0], "b": both[1]})
 
     return run
 
 
+def _unconnected_runs(percent: int):
+    """The same for rows that come ordered by list, pair of blocks and side: each run of them is such a pair."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def worked(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            new = np.zeros(max(0, len(rows[0]) - 1), bool)
+            for k in range(5):
+                new |= rows[k][1:] != rows[k][:-1]
+            bounds = [0, *(np.flatnonzero(new) + 1).tolist(), len(rows[0])]
+            found = []
+            for a, b in zip(bounds, bounds[1:], strict=False):
+                same, side = rows[5][a], rows[6][a:b]
+                cut = a + int(np.searchsorted(side, 1))
+                left, right = ([x[s] for x in rows[7:]] for s in ((slice(a, b),) * 2 if same else (slice(a, cut), slice(cut, b))))
+                if len(left[0]) and len(right[0]):
+                    found.append(_near(left, right, percent))
+            pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+            if pairs.shape[1]:
+                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+        held: list[np.ndarray] | None = None
+        for batch in batches:
+            rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:-1]]
+            rows.append(np.frombuffer(b"".join(batch.column(batch.num_columns - 1).to_pylist()), np.uint8).reshape(batch.num_rows, -1))
+            if held is not None:
+                rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
+            ends = np.zeros(max(0, len(rows[0]) - 1), bool)
+            for k in range(5):
+                ends |= rows[k][1:] != rows[k][:-1]
+            ends = np.flatnonzero(ends)
+            cut = int(ends[-1]) + 1 if len(ends) else 0  # the last pair of blocks may go on in the next batch
+            if cut:
+                yield from worked([x[:cut] for x in rows])
+            held = [x[cut:] for x in rows]
+        if held is not None and len(held[0]):
+            yield from worked(held)
+
+    return run
+
+
 def _block_pairs(rest: DataFrame, percent: int) -> DataFrame:
     """Rows of open lists, each sent to the pairs of blocks that it is to be compared in: (shingle, x, y, same, side, ...).
 
@@ -428,7 +477,10 @@ def shingle_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     sketches = seen.where("slice is null and n > 0").groupBy(F.col("node").alias("a")).agg(F.first("parity").alias("parity"))
     rest = rest.join(sketches, "a")
     sent = _block_pairs(rest, percent)
-    more = sent.groupBy("shingle", "x", "y", "same").applyInPandas(_unconnected(percent), "a bigint, b bigint").distinct()
+    names = ["shingle", "xc", "xk", "yc", "yk", "same", "side", "a", "n", "place", "component", "parity"]
+    sent = sent.selectExpr("shingle", "x.c AS xc", "x.k AS xk", "y.c AS yc", "y.k AS yk", *names[5:])
+    sent = sent.repartition(n_parts, *names[:5]).sortWithinPartitions(*names[:5], "side")
+    more = sent.mapInArrow(_unconnected_runs(percent), "a bigint, b bigint").distinct()
     more = stored(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
     if not more.isEmpty():
         label = components(links.union(_verified(texts, filled, more, size, percent)))
