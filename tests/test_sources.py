@@ -133,3 +133,41 @@ def test_csv_of_each_variant_has_its_own_columns(spark, exported):
         assert {r[0] for r in df.select("region_code").distinct().collect()} <= (
             {3} if variant == R.COMPLAINTS else {0, 1, 2, 4}
         )
+
+
+LINES = 'a;b;c\n1;x;2\n3;y\n4;"p;q;""r""";5\n6;z;7;8\n\n9;;\n"only\n'
+
+
+def test_rejected_lines(spark, tmp_path):
+    path = write(tmp_path, "x.csv", LINES)
+    good, bad = delimited.read_checked(spark, path)
+    assert sorted(rows(good), key=str) == [("1", "x", "2"), ("4", 'p;q;"r"', "5"), ("9", None, None)]
+    found = {r["line"]: (r["fields"], r["expected"], r["reason"]) for r in bad.collect()}
+    assert found["3;y"] == (2, 3, "too few fields") and found["6;z;7;8"] == (4, 3, "too many fields")
+    assert good.count() + bad.count() == len([x for x in LINES.split("\n")[1:] if x])
+    assert all(r["file"].endswith("x.csv") for r in bad.collect())
+    assert delimited.read_checked(spark, write(tmp_path, "fine.csv", "a;b\n1;2\n"))[1].count() == 0
+
+
+def test_headers_in_one_scan(spark, tmp_path):
+    for k in range(30):
+        write(tmp_path, f"t{k % 3}.csv/part-{k}.csv", f"Clé;col{k % 2}\n{k};x\n", "latin-1" if k % 3 == 1 else "utf-8")
+    write(tmp_path, "big.csv", "\ufeff\"A b\";;\"c;d\"\n" + "1;2;3\n" * 50_000)
+    write(tmp_path, "empty.csv", "")
+    write(tmp_path, "notes.txt", "no;table\n")
+    found = {p.rsplit("/", 1)[1]: delimited.header_of(line) for p, line, _ in delimited.scan_headers(spark, str(tmp_path))}
+    assert found["big.csv"] == ("a_b", "unnamed_1", "cd") and len(found) == 31 and found["part-3.csv"] == ("cle", "col1")
+    tables = delimited.read_folder(spark, str(tmp_path), encoding={"t1": "ISO-8859-1"}, views=False)
+    assert sorted(tables) == ["big", "t0", "t1", "t2"]
+    assert tables["t1"].columns == ["cle", "col1", "col0"] and tables["t1"].count() == 10 and tables["big"].count() == 50_000
+
+
+def test_regional_files_make_one_table(spark, tmp_path):
+    write(tmp_path, "sivss/north.csv", "reclamation;nature_principale;x\nNon;a;1\n")
+    write(tmp_path, "sivss/south.csv", "nature_principale;reclamation\nb;Oui\nc\n")
+    write(tmp_path, "geo/region_2022.csv", "reg;ncc\n84;ARA\n85\n")
+    tables = delimited.read_folder(spark, str(tmp_path), views=False, appended={"all_sivss": "sivss"}, checked=True)
+    assert sorted(tables) == ["all_sivss", "region_2022", "rejects"]
+    got = tables["all_sivss"].select("reclamation", "nature_principale", "x")
+    assert sorted(rows(got), key=str) == [("Non", "a", "1"), ("Oui", "b", None)]
+    assert sorted((r["table_name"], r["line"]) for r in tables["rejects"].collect()) == [("all_sivss", "c"), ("region_2022", "85")]
