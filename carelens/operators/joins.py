@@ -53,11 +53,18 @@ def hierarchy_fallback(communes: DataFrame) -> DataFrame:
 
 
 def geography(
-    communes: DataFrame, departments: DataFrame, regions: DataFrame, codes: Iterable[int] | None = None
+    communes: DataFrame, departments: DataFrame, regions: DataFrame, codes: Iterable[int] | DataFrame | None = None
 ) -> DataFrame:
-    """Commune → department → region in one look-up; with ``codes`` only the communes of those regions."""
+    """Commune → department → region in one look-up; with ``codes`` only the communes of those regions.
+
+    ``codes`` may be a frame with a column ``code``, which is joined instead of being listed in the plan.
+    """
     how = "left" if codes is None else "inner"
-    known = regions if codes is None else filter_in_list(regions, "reg", codes)
+    if isinstance(codes, DataFrame):
+        wanted = broadcast_when_small(codes.selectExpr("code AS __code"), [codes])
+        known = regions.join(wanted, F.expr("reg = __code"), "left_semi")
+    else:
+        known = regions if codes is None else filter_in_list(regions, "reg", codes)
     known = known.selectExpr("reg AS region_code", "ncc AS region_name")
     dep_key = canonical_key("dep", dict(departments.dtypes)["dep"])
     named_deps = departments.selectExpr(named(dep_key, "dep_code"), "ncc AS dep_name", "reg AS dep_region")
@@ -75,7 +82,7 @@ def geo_enrich(
     departments: DataFrame,
     regions: DataFrame,
     key: str = "com_code",
-    codes: Iterable[int] | None = None,
+    codes: Iterable[int] | DataFrame | None = None,
 ) -> DataFrame:
     """Add commune, department and region to rows holding a commune code.
 

@@ -232,21 +232,30 @@ def _values(kind: str, variants: set[str], in_complaints_variant: str) -> dict[s
 
 
 def build_report(
-    tables: Tables, kind: str, region_codes: Iterable[int], complaint_regions: Iterable[int], skew_check: str = "auto"
+    tables: Tables,
+    kind: str,
+    region_codes: Iterable[int] | DataFrame,
+    complaint_regions: Iterable[int],
+    skew_check: str = "auto",
 ) -> DataFrame:
     """Report rows of the given regions, unsorted, with ``region_code`` ahead of the labelled columns.
 
     ``complaint_regions`` take the complaints variant.  When the regions span both variants the columns of both are
-    present and hold NULL where they do not apply.
+    present and hold NULL where they do not apply.  Regions may be a frame with a column ``code``, such as the configured
+    ones: which they are is then not known before the job runs, so the columns of both variants are present.
     """
-    codes, special = set(region_codes), set(complaint_regions)
-    variants = {COMPLAINTS if c in special else INCIDENTS for c in codes}
+    special = set(complaint_regions)
+    if isinstance(region_codes, DataFrame):
+        codes, variants = region_codes, {COMPLAINTS, INCIDENTS}
+    else:
+        codes = sorted(set(region_codes))
+        variants = {COMPLAINTS if c in special else INCIDENTS for c in codes}
     facilities = geo_enrich(
         with_row_id(clean_facility(tables[T.FACILITIES])),
         tables[T.COMMUNES],
         tables[T.DEPARTMENTS],
         tables[T.REGIONS_TABLE],
-        codes=sorted(codes),
+        codes=codes,
     )
     wide = enrich_by_key(
         facilities,
@@ -305,13 +314,14 @@ def control_report(tables: Tables, region: int, variant: str | None = None, skew
 def all_regions_report(
     tables: Tables,
     kind: str,
-    region_codes: Iterable[int],
+    region_codes: Iterable[int] | DataFrame,
     complaint_regions: Iterable[int] = COMPLAINT_VARIANT_REGIONS,
     skew_check: str = "auto",
 ) -> DataFrame:
     """Every configured region in one plan: each source is read, aggregated and joined once.
 
-    With kind ``both`` that holds for the two reports together; ``sheet`` takes each out.
+    With kind ``both`` that holds for the two reports together; ``sheet`` takes each out.  ``region_codes`` may be the
+    frame of configured regions itself.
     """
     return build_report(tables, kind, region_codes, complaint_regions, skew_check)
 

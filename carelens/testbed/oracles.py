@@ -25,7 +25,7 @@ from carelens.testbed.queries import (
     DOCUMENT_NEEDLES,
     REPORT_REGION,
 )
-from carelens.testbed.views import cte, q, qi
+from carelens.testbed.views import VIEWS, cte, q, qi
 
 # --- expressions ------------------------------------------------------------------------------------------------
 
@@ -272,7 +272,7 @@ def _fields(kind: str) -> dict[str, str]:
 _EVENT_FIELDS = {"events", "serious_events", "care_events", "all_events"}
 
 
-def _report(kind: str, regions: tuple[int, ...], special: tuple[int, ...], show: list[str] | None = None) -> str:
+def _report(kind: str, regions: tuple[int, ...], special: tuple[int, ...]) -> str:
     """Report SQL; a region in ``special`` takes the complaints variant."""
     variants = {COMPLAINTS if r in special else INCIDENTS for r in regions}
     variant = next(iter(variants)) if len(variants) == 1 else None
@@ -291,8 +291,6 @@ def _report(kind: str, regions: tuple[int, ...], special: tuple[int, ...], show:
                 fields[f] = f"CASE WHEN NOT {inside} THEN {fields[f]} END"
     listed = report_fields(kind, variant)
     columns = [f"{fields[f]} AS {qi(LABELS[f])}" for f in listed]
-    if show is not None:
-        columns = [f"{fields[f]} AS {f}" if f in listed else f"CAST(NULL AS BIGINT) AS {f}" for f in show]
     code = "r.reg AS region_code, " if len(regions) > 1 else ""
 
     def side(table: str, alias: str, own_key: str) -> str:
@@ -374,18 +372,42 @@ _FACILITY_CAPACITY = " + ".join(
         "total_accueil_de_nuit_places_autorisees",
     )
 )
-_SHOWN = ["region", "finess", "capacity", "charges", "complaints", "all_events", "flagged", "inspections_done", "external_mean"]
 _REGION_ROWS = ", ".join(f"({code}, {q(ncc)}, {q(nom)})" for code, ncc, nom in REGIONS)
 
 
+#: The columns that each report table is defined with: declared ones that its definition holds.
+_COLUMNS = {name: [c for c in T.SCHEMAS[name] if f"AS {c}" in sql or f"AS {qi(c)}" in sql] for name, sql in VIEWS.items()}
+_INCIDENT_FILES = (("numero", "famille_principale < 'B'", 1), ("saisi_par", "NOT famille_principale < 'B'", 1))
+
+
+def _folder_figures() -> str:
+    """Values and characters of every column; empty texts count as no value, as on reading."""
+    def figures(table: str, column: str) -> str:
+        value = f"nullif(CAST({column} AS VARCHAR), '')"
+        return f"count({value}) AS n_values, coalesce(sum(length({value})), 0)::BIGINT AS n_chars FROM {qi(table)}"
+
+    parts = []
+    for table, columns in _COLUMNS.items():
+        parts += [f"SELECT {q(table)} AS table_name, {q(c)} AS column_name, {figures(table, qi(c))}" for c in columns]
+    parts += [
+        f"SELECT {q(T.INCIDENTS)}, {q(name)}, count(*), (count(*) * {chars})::BIGINT FROM {T.INCIDENTS} WHERE {rows}"
+        for name, rows, chars in _INCIDENT_FILES
+    ]
+    parts += [f"SELECT {q(T.DEPARTMENTS)}, 'too few fields', 1, 4", f"SELECT {q(T.DEPARTMENTS)}, 'too many fields', 1, 86"]
+    return f"{cte(*VIEWS)} " + " UNION ALL ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     facility = f"{cte(T.FACILITIES)},{FACILITY}"
     geo = f"{cte(T.FACILITIES, T.COMMUNES, T.DEPARTMENTS, T.REGIONS_TABLE)},{FACILITY},{COMMUNE}"
-    exported = " UNION ALL ".join(
-        f"SELECT '{sheet}' AS sheet, x.*, names.nom FROM ({_report(kind, ALL_REGIONS, COMPLAINT_REGIONS, _SHOWN)}) x"
-        f" LEFT JOIN (VALUES {_REGION_ROWS}) names(code, ncc, nom) ON names.code = x.region_code"
-        for sheet, kind in (("ciblage", TARGETING), ("controle", CONTROL))
-    )
+    def exported(kept: str) -> str:
+        return " UNION ALL BY NAME ".join(
+            f"SELECT '{sheet}' AS sheet, x.*, names.nom FROM ({_report(kind, ALL_REGIONS, COMPLAINT_REGIONS)}) x"
+            f" LEFT JOIN (VALUES {_REGION_ROWS}) names(code, ncc, nom) ON names.code = x.region_code WHERE {kept}"
+            for sheet, kind in (("ciblage", TARGETING), ("controle", CONTROL))
+        )
+
+    typed_keys = f"SELECT register, x.* FROM ({_report(TARGETING, (REPORT_REGION,), ())}) x, (VALUES ('double'), ('bigint'), ('string')) k(register)"
     occupation_keys = f"SELECT {key('finess')} AS key FROM {T.OCCUPATION_2022}"
     lodging_keys = f"SELECT {key('finesset')} AS key FROM {T.LODGING}"
     line_keys = "SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS key FROM lineitem"
@@ -449,8 +471,8 @@ def oracle_sql() -> dict[str, str]:
         " FROM incident",
         "incident_by_nature": f"{cte(T.INCIDENTS)},{INCIDENT} SELECT finess, nb_events,"
         f" {', '.join(qi(n) for n in INCIDENT_NATURES)} FROM incident",
-        "grouped_sum": f"{cte('errd_charges')},{SUMS.split('sum_errd_produitstarif')[0].rstrip().rstrip(',')}"
-        " SELECT finess, CAST(total AS DOUBLE) AS total FROM sum_errd_charges",
+        "grouped_sum": f"{cte(*_FINANCE_TABLES)},{SUMS} "
+        + " UNION ALL ".join(f"SELECT '{t}' AS table_name, finess, CAST(total AS DOUBLE) AS total FROM sum_{t}" for t in _FINANCE_TABLES),
         "grouped_sum_pivot": f"{cte(*_FINANCE_TABLES)},{SUMS} SELECT finess, cadre, "
         + ", ".join(f"CAST(max(CASE WHEN measure = '{m}' THEN total END) AS DOUBLE) AS {m}" for m in _MEASURES)
         + " FROM ("
@@ -492,16 +514,10 @@ def oracle_sql() -> dict[str, str]:
         "delimited_scan_latin1": f"SELECT {_CSV_FIELDS.format(kind='BIGINT')} AS activite FROM customer",
         "normalise_headers": "SELECT n_nationkey AS ndeg_finessrpps, n_name AS libelle_de_letape,"
         " n_regionkey AS \"coeur_dactivite_-_2022\" FROM nation",
-        "folder_tables": f"{cte(T.DEPARTMENTS, T.COMMUNES, T.TOTAL_CAPACITY, 'errd_charges')} "
+        "folder_tables": _folder_figures(),
+        "rejected_lines": f"{cte(*VIEWS)} "
         + " UNION ALL ".join(
-            f"SELECT '{name}' AS table_name, count(*) AS n_rows, {n} AS n_columns, CAST({total} AS DOUBLE) AS total"
-            f" FROM {name}"
-            for name, n, total in (
-                (T.DEPARTMENTS, 3, "NULL"),
-                (T.COMMUNES, 5, "NULL"),
-                (T.TOTAL_CAPACITY, 2, "sum(CAST(somme_de_capacite_autorisee_totale_ AS DECIMAL(18,2)))"),
-                ("errd_charges", 2, "sum(charges_dexploitation)"),
-            )
+            f"SELECT {q(t)} AS table_name, count(*) AS accepted, {2 if t == T.DEPARTMENTS else 0}::BIGINT AS rejected FROM {qi(t)}" for t in VIEWS
         ),
         "concat_sources": "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS o_custkey,"
         " CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS o_totalprice,"
@@ -509,5 +525,8 @@ def oracle_sql() -> dict[str, str]:
         "landed_roundtrip": f"{facility} SELECT * FROM facility",
         "label_region": "SELECT s_suppkey, s_nationkey, ncc, nom FROM supplier LEFT JOIN"
         f" (VALUES {_REGION_ROWS}) names(code, ncc, nom) ON names.code = s_nationkey",
-        "region_partitioned_export": exported,
+        "region_partitioned_export": exported("true"),
+        "folder_to_report": exported("true"),
+        "published_report": exported("x.region_code <> 4"),
+        "numeric_keys": typed_keys,
     }

@@ -4,6 +4,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from carelens import tables as T
 from carelens.fixed_values import CATEGORY_CODES, COMPLAINT_MOTIFS, LABELS
@@ -261,8 +262,14 @@ def incident_by_nature(spark, sf_dir):
 
 @query
 def grouped_sum(spark, sf_dir):
-    sums = A.grouped_sum(table(spark, sf_dir, "errd_charges"), T.FINANCE_LABEL, "charges_dexploitation")
-    return sums.selectExpr("finess", "CAST(total AS DOUBLE) AS total")
+    tables = report_tables(spark, sf_dir, *[s[0] for s in T.FINANCE_SOURCES])
+    sums = [
+        A.grouped_sum(tables[name], T.FINANCE_LABEL, value).selectExpr(
+            f"'{name}' AS table_name", "finess", "CAST(total AS DOUBLE) AS total"
+        )
+        for name, _, _, value in T.FINANCE_SOURCES
+    ]
+    return delimited.concat_sources(sums)
 
 
 @query
@@ -444,23 +451,117 @@ def normalise_headers(spark, sf_dir):
     return headers.normalise_columns(rows.toDF("N° FINESS/RPPS", "Libellé  de l'étape", "Cœur d’activité - 2022"))
 
 
+# Tables that come in ISO-8859-1; the incidents come as one file for each region, with columns of their own.
+LATIN_TABLES = (T.FACILITIES, T.MISSIONS, T.COMMUNES)
+REGIONAL_FILES = {"nord": ("famille_principale < 'B'", "1 AS numero"), "sud": ("NOT famille_principale < 'B'", "'x' AS saisi_par")}
+_BAD_LINES = ("seul", "a;b;c;d;e;f;g;h;i;j;k;l;m;n;o;p;q;r;s;t;u;v;w;x;y;z;0;1;2;3;4;5;6;7;8;9;10;11;12;13;14")
+
+
+def _raw_folder(spark: SparkSession, sf_dir: str, purpose: str) -> str:
+    """All report tables as raw files below one folder, as a region delivers them, with some lines that are not tables'."""
+    folder = scratch_dir(spark, purpose)
+    options = {"header": True, "sep": ";", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    for name, df in report_tables(spark, sf_dir).items():
+        if name == T.INCIDENTS:
+            for region, (rows, extra) in REGIONAL_FILES.items():
+                part = df.where(rows).selectExpr(extra, *map(ref, reversed(df.columns)))
+                part.write.options(**options).csv(f"{folder}/sivss/{region}.csv")
+        else:
+            encoding = "ISO-8859-1" if name in LATIN_TABLES else "UTF-8"
+            df.write.options(encoding=encoding, **options).csv(f"{folder}/tables/{name}.csv")
+    report_tables(spark, sf_dir, T.COMMUNES)[T.COMMUNES].write.options(**options).csv(f"{folder}/demo.csv")
+    bad = spark.createDataFrame([("dep;reg;ncc",), *((x,) for x in _BAD_LINES)], "line string").coalesce(1)
+    bad.write.text(f"{folder}/tables/{T.DEPARTMENTS}.csv/faulty.csv")
+    return folder
+
+
+def _read_raw(spark: SparkSession, folder: str, schemas: dict | None = None) -> dict[str, DataFrame]:
+    latin = dict.fromkeys(LATIN_TABLES, "ISO-8859-1")
+    return delimited.read_folder(
+        spark, folder, encoding=latin, schemas=schemas, views=False, appended={T.INCIDENTS: "sivss"}, checked=True
+    )
+
+
 @query
 def folder_tables(spark, sf_dir):
-    folder = scratch_dir(spark, "folder")
-    written = (T.DEPARTMENTS, T.COMMUNES, T.TOTAL_CAPACITY, "errd_charges")
-    tables = report_tables(spark, sf_dir, *written)
-    for name, df in tables.items():
-        df.write.csv(f"{folder}/{name}.csv", header=True, sep=";")
-    tables[T.COMMUNES].write.csv(f"{folder}/demo.csv", header=True, sep=";")
-    totals = {T.TOTAL_CAPACITY: "somme_de_capacite_autorisee_totale_", "errd_charges": "charges_dexploitation"}
-    counted = []
-    for name, df in delimited.read_folder(spark, folder).items():
-        total = f"sum(CAST({totals[name]} AS DECIMAL(18,2)))" if name in totals else "NULL"
-        counted.append(df.selectExpr(
-            f"'{name}' AS table_name", "count(1) AS n_rows", f"{len(df.columns)} AS n_columns",
-            f"CAST({total} AS DOUBLE) AS total",
-        ))
-    return delimited.concat_sources(counted)
+    """Every table and column of a raw folder as read: values and characters."""
+    found = []
+    for name, df in _read_raw(spark, _raw_folder(spark, sf_dir, "folder"), {}).items():
+        if name == "rejects":
+            found.append(df.selectExpr("table_name", "reason AS column_name", "line").groupBy("table_name", "column_name").agg(
+                F.expr("count(1) AS n_values"), F.expr("sum(length(line)) AS n_chars")
+            ))
+            continue
+        figures = [x for c in df.columns for x in (f"count({ref(c)}) AS {ref('n ' + c)}", f"coalesce(sum(length({ref(c)})), 0) AS {ref('l ' + c)}")]
+        entries = ", ".join(f"{keys.lit(c)}, {ref('n ' + c)}, {ref('l ' + c)}" for c in df.columns)
+        seen = df.selectExpr(*figures).selectExpr(f"stack({len(df.columns)}, {entries}) AS (column_name, n_values, n_chars)")
+        found.append(seen.selectExpr(f"{keys.lit(name)} AS table_name", "*"))
+    return delimited.concat_sources(found)
+
+
+@query
+def rejected_lines(spark, sf_dir):
+    """Accepted and rejected lines of each table of a raw folder; together they are the lines of its files."""
+    tables = _read_raw(spark, _raw_folder(spark, sf_dir, "lines"))
+    rejects = tables.pop("rejects").groupBy("table_name").agg(F.expr("count(1) AS rejected"))
+    accepted = delimited.concat_sources([df.selectExpr(f"{keys.lit(n)} AS table_name", "count(1) AS accepted") for n, df in tables.items()])
+    return accepted.join(rejects, "table_name", "left").selectExpr("table_name", "accepted", "coalesce(rejected, 0) AS rejected")
+
+
+def _sheets(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
+    """Every column of the written sheets, as one frame."""
+    parts = [spark.read.parquet(path).selectExpr(f"'{sheet}' AS sheet", "*") for sheet, path in folders.items()]
+    return delimited.concat_sources(parts)
+
+
+@query
+def folder_to_report(spark, sf_dir):
+    """Raw files of all tables to tables, reports of all configured regions, and their export, read back."""
+    tables = _read_raw(spark, _raw_folder(spark, sf_dir, "input"))
+    names = regions.configured_regions(spark)
+    wanted = spark.createDataFrame([(0,)], "code int").union(names.select("code"))
+    both = R.all_regions_report(tables, R.BOTH, wanted, COMPLAINT_REGIONS)
+    written = sinks.export_report(both, scratch_dir(spark, "output"), names, RUN_DAY, complaint_regions=COMPLAINT_REGIONS)
+    return _sheets(spark, written)
+
+
+@query
+def published_report(spark, sf_dir):
+    """Reports published twice on one day; the second run covers two regions, of which one has lost its rows."""
+    t = report_tables(spark, sf_dir)
+    names, path = regions.configured_regions(spark), scratch_dir(spark, "published")
+    both = R.all_regions_report(t, R.BOTH, ALL_REGIONS, COMPLAINT_REGIONS)
+    sinks.publish_report(both, path, names, RUN_DAY)
+    covered = spark.createDataFrame([(1,), (4,)], "code int")
+    sinks.publish_report(both.where("region_code = 1"), path, names, RUN_DAY, covered)
+    return delimited.concat_sources([
+        sinks.published(spark, path, RUN_DAY, name).selectExpr(f"'{name}' AS sheet", "*") for name in sinks.SHEETS.values()
+    ])
+
+
+# The key columns of the tables that are joined or counted by establishment, in the types of two register systems.
+KEY_COLUMNS = {
+    T.FACILITIES: "finess", T.COMPLAINTS: "ndeg_finessrpps", T.MISSIONS: "code_finess", T.CAPACITIES: "et-ndegfiness",
+    T.TOTAL_CAPACITY: "etiquettes_de_lignes", T.OCCUPATION_2020: "finess_19", T.OCCUPATION_2021: "finess",
+    T.OCCUPATION_2022: "finess", T.LODGING: "finesset", T.DEPENDENCY: "finess_et", T.INDICATORS: "et_finess",
+    **{name: "finess_geographique" for name in T.DASHBOARDS.values()},
+}
+
+
+@query
+def numeric_keys(spark, sf_dir):
+    """The targeting report where keys came out of a database as numbers: register and facts in each other's types."""
+    reports = []
+    for register, facts in (("double", "bigint"), ("bigint", "double"), ("string", "double")):
+        tables = dict(report_tables(spark, sf_dir))
+        for i, (name, column) in enumerate(KEY_COLUMNS.items()):
+            kind = register if name == T.FACILITIES else facts if i % 3 else "double"
+            if kind != "string":
+                typed = f"CAST(CAST({ref(column)} AS DOUBLE) AS {kind})"
+                tables[name] = tables[name].selectExpr(*[named(typed if c == column else ref(c), c) for c in tables[name].columns])
+        report = R.build_report(tables, R.TARGETING, [REPORT_REGION], ()).drop("region_code")
+        reports.append(report.selectExpr(f"'{register}' AS register", *map(ref, report.columns)))
+    return delimited.concat_sources(reports)
 
 
 @query
@@ -496,8 +597,4 @@ def region_partitioned_export(spark, sf_dir):
     written = sinks.export_report(
         both, scratch_dir(spark, "export"), regions.configured_regions(spark), RUN_DAY, complaint_regions=COMPLAINT_REGIONS
     )
-    shown = ["region", "finess", "capacity", "charges", "complaints", "all_events", "flagged", "inspections_done", "external_mean"]
-    return delimited.concat_sources([
-        spark.read.parquet(path).selectExpr(f"'{sheet}' AS sheet", "region_code", "nom", *[named(ref(LABELS[f]), f) for f in shown])
-        for sheet, path in written.items()
-    ])
+    return _sheets(spark, written)
