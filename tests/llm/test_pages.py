@@ -55,6 +55,31 @@ def test_pages_of_all_kinds(spark):
     assert html_wrapper.main_texts(frame.limit(0)).count() == 0
 
 
+def test_template_inside_the_article():
+    """What is constant goes from the article too, unless the pages are few or versions of one article."""
+    rng = random.Random(6)
+    bodies = [[words(rng, 30) for _ in range(3)] for _ in range(10)]
+    page = lambda ps: "<main><article><h1>" + ps[0][:20] + "</h1><p>Share this on Foo.</p>" + "".join(f"<p>{p}</p>" for p in ps) + "<p>Copyright our site.</p></article></main>"
+    want = [" ".join([b[0][:20].strip(), *b]) for b in bodies]
+    pages = [page(b) for b in bodies]
+    full = [f"{b[0][:20].strip()} Share this on Foo. {' '.join(b)} Copyright our site." for b in bodies]
+    assert html_wrapper.extract(pages) == want
+    assert html_wrapper.extract(pages[:2]) == full[:2]  # two pages tell nothing
+    assert html_wrapper.extract(pages[:1] * 9) == full[:1] * 9  # copies are one page
+    # Versions of one article: a word differs, the rest is not template.
+    versions = [[bodies[0][0], bodies[0][1], bodies[0][2] + f" v{k}"] for k in range(6)]
+    got = html_wrapper.extract([page(v) for v in versions])
+    assert all(v[0] in g and v[1] in g and v[2] in g for v, g in zip(versions, got, strict=True))
+
+
+def test_names_count_whole():
+    page = lambda name: html_wrapper.extract([f"<body><div><p>Before all.</p><section id='{name}'><p>Inside it.</p></section></div></body>"])[0]
+    for name in ("related-work", "share-of-votes", "search-algorithms", "social-history", "notice-period", "address", "padding"):
+        assert page(name) == "Before all. Inside it.", name
+    for name in ("related", "related-posts", "share-buttons", "social_links", "ad", "ad-slot-3", "sidebar-left", "cookie-notice", "comments", "site-footer"):
+        assert page(name) == "Before all.", name
+
+
 MESSAGES = [
     (1, 0, "user", "How do I boil an egg properly? I never know."),
     (1, 1, "assistant", "> How do I boil an egg properly?\nYou put it in water for ten minutes.\nThen cool it quickly."),
