@@ -3,18 +3,23 @@
 Texts become templates: numbers, units behind numbers and names inside sentences turn into typed placeholders, whose
 values are kept as slots.  Windows of template words meet by hash.  Along one alignment of item and document every value
 of the item must stand for one value in the document; what meets consistently counts towards the item's cover.
+
+A capital that opens a sentence does not tell a name from another word, so texts have two templates: in one such words are
+literals, in the other they are names.  Either finds an item.  Items too short or too dense in placeholders for a window
+are looked for as a whole, word by word.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import Rolling, chunks, joined, mix, numbered, slices, stored, whole_text
+from carelens.llm.common import Rolling, chunks, joined, mix, numbered, partitions, slices, stored, whole_text
 
 #: Words that are units behind a number.
 UNITS = (
@@ -45,8 +50,11 @@ def _hashes(words: list[str]) -> np.ndarray:
 _UNIT_HASHES = np.unique(_hashes([u for u in UNITS if u.isalpha()]))
 
 
-def templates(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the template words of all texts: the text, the kind, the hash of the word or placeholder, the value's hash."""
+def templates(texts: list[bytes], openers: bool = False, whole: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the template words of all texts: the text, the kind, the hash of the word or placeholder, the value's hash.
+
+    With ``openers`` capitals that open sentences make names too; without ``whole`` names in a row stay words of their own.
+    """
     data, offsets = joined(texts)
     empty = np.zeros(0, np.int64)
     if not len(data):
@@ -75,14 +83,14 @@ def templates(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     capital = (data[starts] >= 65) & (data[starts] <= 90)
     capital |= np.isin(starts + 1, upper) & (data[starts] == 0xC3)
     sort = np.full(len(starts), _LITERAL)
-    sort[capital & ~opens] = _NAME
+    sort[capital if openers else capital & ~opens] = _NAME
     sort[kind[starts] == 2] = _NUMBER
     behind = np.zeros(len(starts), bool)
     behind[1:] = (sort[:-1] == _NUMBER) & ~opens[1:]
     sort[behind & np.isin(value, _UNIT_HASHES)] = _UNIT
     # Names in a row are one name.
     more = np.zeros(len(starts), bool)
-    more[1:] = (sort[1:] == _NAME) & (sort[:-1] == _NAME) & ~first[1:]
+    more[1:] = (sort[1:] == _NAME) & (sort[:-1] == _NAME) & ~opens[1:] & whole
     keep = np.flatnonzero(~more)
     if more.any():
         value = np.add.reduceat(value, keep) if len(keep) else value
@@ -93,37 +101,46 @@ def templates(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     return of, sort, word, value
 
 
-def windows(texts: list[bytes], size: int, literals: int) -> tuple[np.ndarray, ...]:
+def _runs(of: np.ndarray, word: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where windows of ``size`` words begin, and their hashes."""
+    n = len(of) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    weights = mix(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    at = np.flatnonzero(of[:n] == of[size - 1 :])
+    return at, mix(sum(word[k + at] * weights[k] for k in range(size)))
+
+
+def windows(texts: list[bytes], size: int, literals: int, openers: bool = False) -> tuple[np.ndarray, ...]:
     """Windows of ``size`` template words with ``literals`` words that are no placeholders at least.
 
     Gives text, place in the text, hash, words' kinds and values (a row of ``size``), and the windows of each text.
     """
-    of, sort, word, value = templates(texts)
-    n = len(of) - size + 1
-    if n <= 0:
+    of, sort, word, value = templates(texts, openers)
+    if len(of) < size:
         none = np.zeros(0, np.int64)
         return none, none, none, none.reshape(0, size), none.reshape(0, size).astype(np.uint64), np.zeros(len(texts), np.int64)
-    weights = mix(np.arange(1, size + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-    hashes = mix(sum(word[k : k + n] * weights[k] for k in range(size)))
+    at, hashes = _runs(of, word, size)
     plain = np.concatenate([[0], np.cumsum(sort == _LITERAL)])
-    at = np.flatnonzero((of[:n] == of[size - 1 :]) & (plain[size:] - plain[:-size] >= literals))
+    enough = plain[at + size] - plain[at] >= literals
+    at, hashes = at[enough], hashes[enough]
     counts = np.bincount(of, minlength=len(texts))
     first = np.cumsum(counts) - counts
     rows = at[:, None] + np.arange(size)
-    return of[at], at - first[of[at]], hashes[at].view(np.int64), sort[rows], value[rows], np.bincount(of[at], minlength=len(texts))
+    return of[at], at - first[of[at]], hashes.view(np.int64), sort[rows], value[rows], np.bincount(of[at], minlength=len(texts))
 
 
 def _window_rows(size: int, literals: int, seen):
     """Rows (id, place, hash, slots, windows of the text); with a map, of windows that may be in the benchmark only."""
-    names = ["id", "place", "hash", "slots", "n"]
+    names = ["id", "openers", "place", "hash", "slots", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.unpackbits(np.frombuffer(seen.value, np.uint8)).astype(bool) if seen is not None else None
         for batch in slices(batches):
             ids = batch.column(0).to_numpy()
             texts = [t.encode("utf-8") for t in batch.column(1).to_pylist()]
-            for a, b in chunks(texts):
-                of, place, hashes, sort, value, counts = windows(texts[a:b], size, literals)
+            for (a, b), openers in product(chunks(texts), (False, True)):
+                of, place, hashes, sort, value, counts = windows(texts[a:b], size, literals, openers)
                 if known is not None:
                     hit = known[hashes.view(np.uint64) >> np.uint64(64 - MAP_BITS)]
                     of, place, hashes, sort, value = of[hit], place[hit], hashes[hit], sort[hit], value[hit]
@@ -133,40 +150,98 @@ def _window_rows(size: int, literals: int, seen):
                 is_slot = sort != _LITERAL
                 offsets = np.concatenate([[0], np.cumsum(is_slot.sum(axis=1))]).astype(np.int32)
                 slots = pa.ListArray.from_arrays(pa.array(offsets), pa.array(value[is_slot].view(np.int64)))
+                flag = pa.array(np.full(len(of), openers))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[a + of]), pa.array(place.astype(np.int32)), pa.array(hashes), slots, pa.array(counts[of].astype(np.int32))], names=names
+                    [pa.array(ids[a + of]), flag, pa.array(place.astype(np.int32)), pa.array(hashes), slots, pa.array(counts[of].astype(np.int32))], names=names
                 )
 
     return run
 
 
+def _whole_items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, size, hash) of all words of each text that has any."""
+    for batch in slices(batches):
+        texts = [t.encode("utf-8") for t in batch.column(1).to_pylist()]
+        of, _, _, value = templates(texts, whole=False)
+        counts = np.bincount(of, minlength=len(texts))
+        first = np.cumsum(counts) - counts
+        rows = []
+        for i in np.flatnonzero(counts).tolist():
+            own = value[first[i] : first[i] + counts[i]]
+            rows.append((i, int(counts[i]), int(_runs(np.zeros(len(own), np.int64), own, len(own))[1].view(np.int64)[0])))
+        if rows:
+            at, size, found = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(size, pa.int32()), pa.array(found, pa.int64())], names=["id", "size", "hash"])
+
+
+def _exact_rows(sizes: list[int], seen):
+    """(id, size, hash) of the runs of so many words that may be whole items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = np.unpackbits(np.frombuffer(seen.value, np.uint8)).astype(bool)
+        for batch in slices(batches):
+            ids = batch.column(0).to_numpy()
+            texts = [t.encode("utf-8") for t in batch.column(1).to_pylist()]
+            for a, b in chunks(texts):
+                of, _, _, value = templates(texts[a:b], whole=False)
+                for size in sizes:
+                    at, hashes = _runs(of, value, size)
+                    hit = known[hashes >> np.uint64(64 - MAP_BITS)]
+                    at, hashes = at[hit], hashes[hit].view(np.int64)
+                    if len(at):
+                        yield pa.RecordBatch.from_arrays([pa.array(ids[a + of[at]]), pa.array(np.full(len(at), size, np.int32)), pa.array(hashes)], names=["id", "size", "hash"])
+
+    return run
+
+
+def _map_of(hashes: DataFrame):
+    """A broadcast map of fixed size of the leading bits of ``hash``; tasks make parts of it, which are joined."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, any_ = np.zeros(1 << MAP_BITS, bool), False
+        for batch in batches:
+            bits[batch.column(0).to_numpy().view(np.uint64) >> np.uint64(64 - MAP_BITS)] = any_ = True
+        if any_:
+            yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], names=["bits"])
+
+    bits = np.zeros(1 << MAP_BITS, bool)
+    parts = hashes.select("hash").repartition(min(8, partitions(hashes.sparkSession)), "hash").mapInArrow(part, "bits binary")
+    for row in parts.toLocalIterator():  # eight parts of half a megabyte at most
+        bits |= np.unpackbits(np.frombuffer(row["bits"], np.uint8)).astype(bool)
+    return hashes.sparkSession.sparkContext.broadcast(np.packbits(bits).tobytes())
+
+
 def leaks(texts: DataFrame, benchmark: DataFrame, size: int = 5, literals: int = 3, cover: float = 0.5) -> DataFrame:
     """(id, item_id, cover) for every item of ``benchmark`` (item_id, text) found in a text of ``texts`` (id, text).
 
-    ``cover`` is the share of the item's windows that meet the document consistently.  Items with fewer than ``size``
-    template words are looked for nowhere.
+    ``cover`` is the share of the item's windows that meet the document consistently.  Items without a window of ``size``
+    template words, ``literals`` of them literal, are found where all their words follow one another (cover 1).
     """
-    spark = texts.sparkSession
-    schema = "id bigint, place int, hash bigint, slots array<bigint>, n int"
-    items = benchmark.where("item_id is not null").select(F.col("item_id").cast("bigint").alias("id"), whole_text().alias("text"))
-    items = stored(items.mapInArrow(_window_rows(size, literals, None), schema), "benchmark")
-    # At most 2**MAP_BITS numbers, whatever the benchmark.
-    taken = items.select(F.shiftrightunsigned("hash", 64 - MAP_BITS).alias("k")).distinct().collect()
-    bits = np.zeros(1 << MAP_BITS, bool)
-    bits[[r["k"] for r in taken]] = True
-    seen = spark.sparkContext.broadcast(np.packbits(bits).tobytes())
+    schema = "id bigint, openers boolean, place int, hash bigint, slots array<bigint>, n int"
+    asked = benchmark.where("item_id is not null").select(F.col("item_id").cast("bigint").alias("id"), whole_text().alias("text"))
+    items = stored(asked.mapInArrow(_window_rows(size, literals, None), schema), "benchmark")
+    seen = _map_of(items)
     found = texts.mapInArrow(_window_rows(size, literals, seen), schema)
-    items = items.select("hash", F.col("id").alias("item_id"), F.col("place").alias("item_place"), F.col("slots").alias("item_slots"), F.col("n").alias("item_n"))
-    met = found.join(items, "hash").select(
-        "id", "item_id", "item_n", "item_place", (F.col("place") - F.col("item_place")).alias("shift"), F.arrays_zip("item_slots", "slots").alias("pairs")
+    items = items.select("hash", "openers", F.col("id").alias("item_id"), F.col("place").alias("item_place"), F.col("slots").alias("item_slots"), F.col("n").alias("item_n"))
+    met = found.join(items, ["hash", "openers"]).select(
+        "id", "item_id", "openers", "item_n", "item_place", (F.col("place") - F.col("item_place")).alias("shift"), F.arrays_zip("item_slots", "slots").alias("pairs")
     )
-    one = met.groupBy("id", "item_id", "item_n", "shift").agg(
+    one = met.groupBy("id", "item_id", "openers", "item_n", "shift").agg(
         F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
     )  # no more of either than the item has windows and slots
     consistent = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"])))
-    places = one.where(consistent).select("id", "item_id", "item_n", F.explode("places").alias("place"))
+    places = one.where(consistent).select("id", "item_id", "openers", "item_n", F.explode("places").alias("place"))
     share = (F.count_distinct("place") / F.first("item_n")).alias("cover")
-    return places.groupBy("id", "item_id").agg(share).where(F.col("cover") >= cover)
+    either = places.groupBy("id", "item_id", "openers").agg(share).groupBy("id", "item_id").agg(F.max("cover").alias("cover")).where(F.col("cover") >= cover)
+
+    without = asked.join(items.select(F.col("item_id").alias("id")).distinct(), "id", "left_anti")
+    short = stored(without.mapInArrow(_whole_items, "id bigint, size int, hash bigint"), "short-items")
+    sizes = sorted(r["size"] for r in short.select("size").distinct().collect())  # lengths, not items
+    if not sizes:
+        return either
+    whole = texts.mapInArrow(_exact_rows(sizes, _map_of(short)), "id bigint, size int, hash bigint")
+    exact = whole.join(short.withColumnRenamed("id", "item_id"), ["size", "hash"]).select("id", "item_id").distinct()
+    return either.unionByName(exact.withColumn("cover", F.lit(1.0)))
 
 
 def leak_digest(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:

@@ -86,6 +86,49 @@ def test_slots_must_be_consistent(spark):
     assert got == {0: True, 1: False}
 
 
+def test_names_that_open_sentences(spark):
+    item = "Anna bought 5 red apples today. Peter ate 3 of them quickly. Maria took the rest home again."
+    other = item.replace("Anna", "Olga").replace("Peter", "Ivan").replace("Maria", "Nina").replace("5", "8")
+    mixed = "He said this. " + other + " And so on."
+    one_name = item.replace("Anna", "Olga").replace("Peter", "Olga")  # two names of the item stand for one: still each for one
+    texts = {1: item, 2: mixed, 3: one_name, 4: "Anna bought a house today. Peter ate well. Maria took a walk."}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    got = {r["doc_id"]: r["contaminated"] for r in decontaminate.leak_digest(docs, items).collect()}
+    assert got == {1: True, 2: True, 3: True, 4: False}
+
+
+def test_short_and_dense_items(spark):
+    items = {1: "Who wrote Hamlet?", 2: "What is 12 + 5 * 3 - 4 / 2?", 3: "", 4: "...", 5: "Solve x"}
+    texts = {
+        10: "Before. who wrote HAMLET, they ask", 11: "Who wrote it? Hamlet", 12: "so what is 12 + 5 * 3 - 4 / 2 then", 13: "what is 12 + 5 * 3 - 4 / 9",
+        14: "Who wrote", 15: None, 16: "we solve X here", 17: "Hamlet " * 3000,
+    }
+    docs = spark.createDataFrame([*texts.items(), (None, "Who wrote Hamlet")], "doc_id bigint, text string")
+    rows = spark.createDataFrame([*items.items(), (6, None), (1, items[1])], "item_id bigint, text string")
+    got = {r["doc_id"]: r["item_ids"] for r in decontaminate.leak_digest(docs, rows).collect()}
+    assert got == {10: [1], 11: [], 12: [2], 13: [], 14: [], 15: [], 16: [5], 17: [], None: [1]}
+
+
+def test_parameterised_items_by_brute_force(spark):
+    """Items with other numbers and names are found, wherever the names stand; other texts are not."""
+    rng = random.Random(9)
+    people = ["Anna", "Boris", "Carla", "Dmitri", "Eva", "Farid", "Greta", "Hugo"]
+    frames = [
+        "{0} has {a} coins and gives {b} of them to {1}. {1} then buys a very small red kite for {a} coins.",
+        "A train leaves at {a} hours and {0} walks {b} km to meet it. {0} is late by {a} minutes today.",
+        "{0} paints {a} doors each week. How many doors does {0} paint together with {1} within {b} weeks?",
+    ]
+    made = [(k, f, rng.sample(people, 2), rng.sample(range(2, 90), 2)) for k, f in enumerate(frames * 4)]
+    items = [(k, f.format(*n, a=v[0], b=v[1])) for k, f, n, v in made[:3]]
+    docs = [(k, "Some prose goes first. " + f.format(*n, a=v[0], b=v[1]) + " " + words(rng, 20)) for k, f, n, v in made]
+    docs += [(100 + k, words(rng, 60)) for k in range(20)]
+    got = decontaminate.leak_digest(
+        spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    ).collect()
+    assert {r["doc_id"]: r["item_ids"] for r in got} == {i: ([i % 3] if i < 100 else []) for i, _ in docs}
+
+
 def test_leaks_against_search(spark):
     docs, items = (pd.read_parquet(f"{SF_DIR}/{t}.parquet") for t in ("documents", "benchmark"))
     got = decontaminate.leak_digest(spark.read.parquet(f"{SF_DIR}/documents.parquet"), spark.read.parquet(f"{SF_DIR}/benchmark.parquet"))
