@@ -1,7 +1,8 @@
 """Quotation linking: replies are linked to the messages they quote, and conversations come without quotes.
 
 Quote levels (``>``, also nested and spaced) are parsed line by line; a passage is a run of lines of one level.  Passages
-are normalised and hashed and met with the hashes of the other messages' own passages and sentences.
+are normalised and hashed and met with the hashes of the other messages' own passages, lines and sentences.  A passage that
+nobody says as a whole is looked for by its lines and sentences, and comes from the message that says most of it.
 """
 
 from __future__ import annotations
@@ -11,8 +12,10 @@ from pyspark.sql import functions as F
 
 from carelens.llm.common import stored
 
-#: Quoted passages with fewer letters and digits than this link nothing.
+#: Passages and parts of them with fewer letters and digits than this are looked for in their own conversation only.
 LEAST_CHARS = 12
+#: The share of a passage that a message has to say, in percent, where none says the whole.
+COVER = 50
 #: Turns are cut into blocks of two to this power, so that no task sorts a whole conversation.
 TURN_BITS = 12
 
@@ -35,18 +38,36 @@ def _lines(text: Column) -> Column:
     )
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _passages(lines: Column) -> Column:
     """Runs of lines of one level, joined by line feeds."""
-    empty = F.array().cast("array<struct<level:int,content:string>>")
 
-    def grow(done: Column, line: Column) -> Column:
-        same = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["level"] == line["level"])
-        longer = F.struct(line["level"].alias("level"), F.concat(F.try_element_at(done, F.lit(-1))["content"], F.lit("\n"), line["content"]).alias("content"))
-        return F.when(same, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer))).otherwise(
-            F.concat(done, F.array(F.struct(line["level"].alias("level"), line["content"].alias("content"))))
-        )
+    def runs(own: Column, starts: Column) -> Column:
+        def run(start: Column, k: Column) -> Column:
+            end = F.coalesce(F.get(starts, k + 1), F.size(own))
+            return F.struct(
+                F.get(own, start)["level"].alias("level"),
+                F.array_join(F.transform(F.slice(own, start + 1, end - start), lambda x: x["content"]), "\n").alias("content"),
+            )
+
+        return F.transform(starts, run)
+
+    def cut(own: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(own) - 1)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(own, i)["level"] != F.get(own, i - 1)["level"]))
+        return _bound(starts, lambda found: runs(own, found))
+
+    return _bound(lines, cut)
+
 
-    return F.aggregate(lines, empty, grow)
+def _parts(text: Column) -> Column:
+    """Normal forms of the lines and sentences of a text."""
+    parts = F.concat(F.split(text, r"\n+"), F.split(text, r"(?<=[.!?])\s+"))
+    return F.array_distinct(F.filter(F.transform(parts, normalised), lambda x: F.length(x) > 0))
 
 
 def linked(messages: DataFrame) -> DataFrame:
@@ -54,8 +75,9 @@ def linked(messages: DataFrame) -> DataFrame:
 
     Columns: conv_id, turn, role, own_text (without quoted lines), n_quotes, quote_depth, parent_conv, parent_turn,
     thread_conv, thread_turn, depth, place.  The parent is the message that the row's outermost quote comes from: an
-    earlier one of the same conversation if there is one (the latest of them), else the first other message that says it;
-    without a known quote it is the turn before in the conversation.  A message is known by (conv_id, turn); rows that
+    earlier one of the same conversation if there is one (the latest of them), else the first other message that says it,
+    else the one that says most of its lines and sentences (half of it at least), likewise; without a known quote it is the
+    turn before in the conversation.  Short passages and parts are known in their own conversation only.  A message is known by (conv_id, turn); rows that
     repeat one share its links, rows with NULL in either have no links.  NULL texts are empty.  Parents are earlier in
     (turn, conv_id), so threads hold no cycles; ``depth`` counts the messages above, ``place`` orders a thread.
     """
@@ -70,23 +92,36 @@ def linked(messages: DataFrame) -> DataFrame:
     rows = stored(rows.select("conv_id", "turn", "role", "own_text", "passages"), "messages")
     known = rows.where("conv_id is not null and turn is not null")
     # What messages say: the whole text and each line and sentence of it, under the hash of its normal form.
-    parts = F.concat(F.array("own_text"), F.split("own_text", r"\n+"), F.split("own_text", r"(?<=[.!?])\s+"))
-    said = known.select("conv_id", "turn", F.explode(F.array_distinct(F.transform(parts, normalised))).alias("norm"))
+    parts = F.array_distinct(F.concat(F.array(normalised(F.col("own_text"))), _parts(F.col("own_text"))))
+    said = known.select("conv_id", "turn", F.explode(parts).alias("norm"))
     asked = known.where("size(passages) > 0").select("conv_id", "turn", F.posexplode("passages").alias("n", "p"))
-    asked = asked.select("conv_id", "turn", "n", F.col("p.level").alias("level"), normalised(F.col("p.content")).alias("norm"))
-    asked = asked.where(F.length("norm") >= LEAST_CHARS).withColumn("hash", F.xxhash64("norm"))
-    asked = asked.groupBy("conv_id", "turn", "level", "hash", "norm").agg(F.min("n").alias("n"))
-    said = said.where(F.length("norm") >= LEAST_CHARS).withColumn("hash", F.xxhash64("norm"))
+    asked = asked.select("conv_id", "turn", "n", F.col("p.level").alias("level"), normalised(F.col("p.content")).alias("all"), _parts(F.col("p.content")).alias("parts"))
+    # The whole passage, and what it is made of.
+    asked = asked.withColumn("norm", F.explode(F.array_distinct(F.concat(F.array("all"), "parts")))).where("length(norm) > 0")
+    asked = asked.select("conv_id", "turn", "n", "level", "norm", (F.col("norm") == F.col("all")).alias("whole"), F.length("all").alias("length"))
+    asked = asked.withColumn("hash", F.xxhash64("norm"))
+    # A passage that a message repeats is asked for once.
+    asked = asked.groupBy("conv_id", "turn", "level", "hash", "norm", "whole", "length").agg(F.min("n").alias("n"))
+    said = said.where("length(norm) > 0").withColumn("hash", F.xxhash64("norm"))
     wanted = asked.select("hash").distinct()
     # One source per passage and conversation, and the first of all: a passage that many say stays one row.
     said = said.join(wanted, "hash", "left_semi")
-    first = said.groupBy("hash", "norm").agg(F.min(F.struct("turn", "conv_id")).alias("first"))
+    first = said.where(F.length("norm") >= LEAST_CHARS).groupBy("hash", "norm").agg(F.min(F.struct("turn", "conv_id")).alias("first"))
     # Both sides in one list by turn: as long as they are, however often a conversation repeats a passage.
     both = asked.withColumn("said", F.lit(None).cast("bigint")).unionByName(said.withColumn("said", F.col("turn")), allowMissingColumns=True)
     inside = _latest_before(both, "hash", "norm", "conv_id").where("n is not null and latest is not null")
     outside = asked.join(first, ["hash", "norm"]).where("first.turn < turn or (first.turn = turn and first.conv_id < conv_id)")
-    choice = inside.select("conv_id", "turn", F.struct("level", F.lit(0).alias("far"), "n", F.col("latest").alias("p_turn"), F.col("conv_id").alias("p_conv")).alias("c"))
-    choice = choice.unionByName(outside.select("conv_id", "turn", F.struct("level", F.lit(1).alias("far"), "n", F.col("first.turn").alias("p_turn"), F.col("first.conv_id").alias("p_conv")).alias("c")))
+    inside = inside.withColumns({"p_turn": F.col("latest"), "p_conv": F.col("conv_id"), "far": F.lit(0)})
+    outside = outside.withColumns({"p_turn": F.col("first.turn"), "p_conv": F.col("first.conv_id"), "far": F.lit(1)})
+    names = ["conv_id", "turn", "level", "n", "norm", "whole", "length", "far", "p_turn", "p_conv"]
+    met = inside.select(*names).unionByName(outside.select(*names))
+    source = lambda far: F.struct("level", far.alias("far"), "n", "p_turn", "p_conv").alias("c")
+    choice = met.where("whole").select("conv_id", "turn", source(F.col("far")))
+    # Of each passage the message that says most of it, the latest of those that say as much.
+    most = met.where("not whole").groupBy("conv_id", "turn", "level", "n", "length", "far", "p_turn", "p_conv").agg(F.sum(F.length("norm")).alias("chars"))
+    most = most.where(100 * F.col("chars") >= COVER * F.col("length")).groupBy("conv_id", "turn", "level", "n", "far")
+    most = most.agg(F.max(F.struct("chars", "p_turn", "p_conv")).alias("m")).select("conv_id", "turn", "level", "n", "far", "m.p_turn", "m.p_conv")
+    choice = choice.unionByName(most.select("conv_id", "turn", source(F.col("far") + 2)))
     parent = choice.groupBy("conv_id", "turn").agg(F.min("c").alias("c"))
     keys = known.select("conv_id", "turn").distinct()
     keys = _latest_before(keys.withColumn("said", F.col("turn")), "conv_id").withColumnRenamed("latest", "previous").join(parent, ["conv_id", "turn"], "left")

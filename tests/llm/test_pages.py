@@ -130,3 +130,51 @@ def test_threads_over_blocks_of_turns(spark):
     assert {t: r["parent_turn"] for t, r in got.items()} == parent
     assert {t: r["depth"] for t, r in got.items()} == depth
     assert {(r["thread_conv"], r["thread_turn"]) for r in got.values()} == {(7, turns[0])}
+
+
+def test_short_and_partial_quotes(spark):
+    three = "The first point is this one. The second point differs a lot. And a third was made."
+    wrapped = "A line that was wrapped\nby some mail program or other\nover several lines of text"
+    rows = [
+        (1, 0, "user", "Why not?"), (1, 1, "bot", "Because."), (1, 2, "user", "> Why not?\nI asked first"),
+        (2, 0, "user", three), (2, 1, "bot", "Something else is said here."), (2, 2, "user", "> The second point differs a lot. And a third was made.\nyes"),
+        (3, 0, "user", wrapped), (3, 1, "bot", "noted"), (3, 2, "user", "> by some mail program or other\n> over several lines of text\nindeed"),
+        (4, 3, "user", "> The first point is this one. And a third was made.\nfrom elsewhere"),
+        (5, 0, "user", "Why not?"), (6, 9, "user", "> Why not?\nshort ones stay in their conversation"),
+        (7, 0, "user", "One thing is true here."), (7, 1, "bot", "ok"), (7, 2, "user", "> One thing is true here. But all the rest of this passage was never said by anyone.\nhm"),
+    ]
+    docs = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = {(r["conv_id"], r["turn"]): (r["parent_conv"], r["parent_turn"]) for r in quotes.conversations(docs).collect()}
+    assert got[1, 2] == (1, 0) and got[2, 2] == (2, 0) and got[3, 2] == (3, 0)
+    assert got[4, 3] == (2, 0)
+    assert got[6, 9] == (None, None)
+    assert got[7, 2] == (7, 1)  # too little of it was said
+
+
+def test_passages_are_runs_of_one_level(spark):
+    text = "> a\n> b\n>> c\nown\n> d\n" + "> e\n" * 3000
+    row = spark.createDataFrame([(text,)], "text string").select(quotes._passages(quotes._lines(F.col("text"))).alias("p")).first()["p"]
+    assert [(p["level"], p["content"][:3]) for p in row] == [(1, "a\nb"), (2, "c"), (0, "own"), (1, "d\ne"), (0, "")]
+    assert row[3]["content"] == "\n".join(["d", *["e"] * 3000])
+
+
+def test_planted_quotes_are_found(spark):
+    """Quotes of random runs of sentences, nested or not: the share that gets its source."""
+    rng = random.Random(12)
+    said, rows, want = {}, [], {}
+    for c in range(40):
+        for t in range(6):
+            own = " ".join(words(rng, rng.randint(4, 9)).capitalize() + "." for _ in range(rng.randint(1, 4)))
+            text, source = own, None
+            if t > 1 and rng.random() < 0.6:
+                source = rng.randrange(t)
+                parts = said[c, source].split(". ")
+                k = rng.randrange(len(parts))
+                piece = ". ".join(parts[k : k + rng.randint(1, len(parts))]).rstrip(".") + "."
+                text = f"> {piece}\n{own}"
+            said[c, t] = own
+            rows.append((c, t, "user", text))
+            want[c, t] = (c, source) if source is not None else ((c, t - 1) if t else (None, None))
+    docs = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = {(r["conv_id"], r["turn"]): (r["parent_conv"], r["parent_turn"]) for r in quotes.conversations(docs).collect()}
+    assert got == want
