@@ -136,8 +136,8 @@ class WordMemo:
     """Codes texts word by word and keeps what it has coded.
 
     A word runs from a space that follows no white space (or from the start of the text) to the byte before the next
-    such space.  ``code`` gets a list of distinct words and returns their codes, one array each; the codes of a text are
-    those of its words, one after another.  A word is known by its 64-bit hash and length.  At most ``limit`` words are
+    such space.  ``code`` gets a list of distinct words and returns their codes, one array each, or all of them and how many
+    each word has; the codes of a text are those of its words, one after another.  A word is known by its 64-bit hash and length.  At most ``limit`` words are
     kept; then it starts afresh.
     """
 
@@ -177,12 +177,13 @@ class WordMemo:
 
     def _add(self, keys: np.ndarray, words: list[bytes]) -> None:
         coded = self.code(words)
-        lengths = np.fromiter(map(len, coded), np.int64, len(coded))
-        total = int(lengths.sum())
+        if isinstance(coded, list):
+            coded = np.concatenate(coded) if coded else np.zeros(0, np.int32), np.fromiter(map(len, coded), np.int64, len(coded))
+        coded, lengths = coded
+        total = len(coded)
         while self.filled + total > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        if total:
-            self.flat[self.filled : self.filled + total] = np.concatenate(coded)
+        self.flat[self.filled : self.filled + total] = coded
         first, end = self.n, self.n + len(words)
         while end > len(self.keys):  # room grows by doubling: a batch with a few new words copies nothing
             for name in ("keys", "start", "length"):

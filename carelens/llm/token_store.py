@@ -7,8 +7,10 @@ or asks for the counts alone skip token pages.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,16 +31,20 @@ def coder(path: str):
     tokens hold no space, so the words of ``WordMemo`` can be coded apart.
     """
     if path not in _coders:
+        # One thread a task: the words of a batch are too short to be dealt over threads.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_file(path)
 
-        def words(new: list[bytes]) -> list[np.ndarray]:
-            out: list[np.ndarray] = []
+        def words(new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            flat, lengths = [], []
             for k in range(0, len(new), 2000):
                 coded = library.encode_batch_fast([w.decode("utf-8") for w in new[k : k + 2000]], add_special_tokens=False)
-                out += [np.array(e.ids, np.int32) for e in coded]
-            return out
+                ids = [e.ids for e in coded]
+                lengths.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+                flat.append(np.fromiter(chain.from_iterable(ids), np.int32, int(lengths[-1].sum())))
+            return np.concatenate(flat), np.concatenate(lengths)
 
         _coders[path] = WordMemo(words)
     memo = _coders[path]
