@@ -219,6 +219,9 @@ class WordMemo:
         if (numbers < 0).any():
             new, at = np.unique(keys[numbers < 0], return_index=True)
             at = np.flatnonzero(numbers < 0)[at]
+            # Those that begin with a space come last, so that ``code`` may take them together.
+            order = np.argsort(data[starts[at]] == 0x20, kind="stable")
+            new, at = new[order], at[order]
             raw = data.tobytes()
             self._add(new, [raw[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
             numbers[numbers < 0] = self._find(keys[numbers < 0])

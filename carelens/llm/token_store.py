@@ -37,13 +37,39 @@ def coder(path: str):
 
         library = Tokenizer.from_file(path)
 
+        # The bytes of each id: in the byte-level alphabet a character is a byte; added tokens stand for themselves.
+        vocabulary = library.get_vocab(with_added_tokens=True)
+        width = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            width[i] = len(token)
+        for i, token in library.get_added_tokens_decoder().items():
+            width[i] = len(token.content.encode("utf-8"))
+
+        def apart(new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            ids = [e.ids for e in library.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)]
+            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+            return np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum())), lengths
+
         def words(new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            """Words that begin with a space are coded in one text; the widths of its ids tell where each word ends."""
+            if not new:
+                return np.zeros(0, np.int32), np.zeros(0, np.int64)
             flat, lengths = [], []
-            for k in range(0, len(new), 2000):
-                coded = library.encode_batch_fast([w.decode("utf-8") for w in new[k : k + 2000]], add_special_tokens=False)
-                ids = [e.ids for e in coded]
-                lengths.append(np.fromiter(map(len, ids), np.int64, len(ids)))
-                flat.append(np.fromiter(chain.from_iterable(ids), np.int32, int(lengths[-1].sum())))
+            for k in range(0, len(new), 1000):
+                some = new[k : k + 1000]
+                if all(w[:1] == b" " for w in some):
+                    text = library.encode_batch_fast([b"".join(some).decode("utf-8")], add_special_tokens=False)[0]
+                    ids = np.array(text.ids, np.int32)
+                    ends = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))
+                    upto = np.cumsum(width[ids])
+                    at = np.searchsorted(upto, ends)
+                    if len(upto) and upto[-1] == ends[-1] and (upto[at] == ends).all():
+                        flat.append(ids)
+                        lengths.append(np.diff(np.concatenate([[0], at + 1])))
+                        continue
+                ids, counts = apart(some)  # an id may not reach over the end of a word
+                flat.append(ids)
+                lengths.append(counts)
             return np.concatenate(flat), np.concatenate(lengths)
 
         _coders[path] = WordMemo(words)
