@@ -22,14 +22,18 @@ PASSAGE = 200
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Quality classifier: documents that either scorer rejects (low quality, toxic) go; NULL texts count as empty."""
+    """Quality classifier: documents that either scorer rejects (low quality, toxic) go; NULL texts count as empty.
+
+    Each row is judged by its own text, whether it repeats a doc_id or has none; an empty table gives no rows.
+    """
     return accepted(docs, on_workers(spark).read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join: of each group of linked documents the one of least doc_id stays, and one row of it.
+    """N-gram Jaccard join: of each group of linked documents the one of least doc_id stays, rows that repeat it once.
 
-    Documents without a doc_id or without words are linked with nothing and stay.
+    Documents without a doc_id or without words are linked with nothing and stay.  Where a doc_id has rows with different
+    texts, what stays of it is one row of each text; which of equal rows that is, is open.  An empty table gives no rows.
     """
     on_workers(spark)
     groups = shingle_components(docs.select("doc_id", "text"))
@@ -40,18 +44,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Suffix-array dedup: bytes of passages that start anywhere else too go from the text; n_chars follows."""
+    """Suffix-array dedup: bytes of passages that start anywhere else too go from the text; n_chars follows.
+
+    Every row is a document of its own, so repeated rows empty one another; a NULL text stays NULL, and no row goes.
+    """
     on_workers(spark)
     return _counted(without_repeats(docs, PASSAGE))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Benchmark decontamination: documents that hold an item, also with other numbers, names or units, go."""
+    """Benchmark decontamination: documents that hold an item, also with other numbers, names or units, go.
+
+    Each row is judged by its own text; NULL and empty texts hold nothing and stay; without items all rows stay.
+    """
     return without_leaks(docs, on_workers(spark).read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SentencePiece encoding: the ids of every document's pieces in place of its text."""
+    """SentencePiece encoding: the ids of every document's pieces in place of its text.
+
+    NULL and empty texts have no ids; each row is coded on its own, and an empty table gives no rows.
+    """
     import public_tokenizers
 
     on_workers(spark)
