@@ -269,6 +269,9 @@ def decode_column(docs: DataFrame, path: str, ids: str = "ids", text: str = "dec
 def piece_digest(docs: DataFrame, path: str) -> DataFrame:
     """Per document: pieces, bytes coded by fallback, CRC-32 of the ids (little-endian, 32 bits), log score of the best
     path, and what decoding gives back: its bytes and whether it is the text itself (a marker in the text is a space).
+
+    A NULL or empty text has no pieces and comes back empty.  Each row is coded on its own, whether it repeats a doc_id or
+    has none; other columns are ignored, and an empty table gives no rows.
     """
     import zlib
 
