@@ -15,7 +15,9 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from math import isqrt
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +28,6 @@ GROUP = 24
 LEAST = 3
 #: The largest share of a region's text that is taken for template.
 MOST_TEMPLATE = 0.4
-#: Child lists up to this long (the product of two) are aligned best; longer ones in step.
-CELLS = 40_000
 #: The broadcast table of hosts with more than a group of pages has this many rows at most; else it is joined by shuffle.
 BROADCAST_HOSTS = 500_000
 _TOKEN = re.compile(
@@ -186,42 +186,121 @@ def _elements(node: Node) -> list[Node]:
     return [k for k in node.kids if isinstance(k, Node) and not apart(k, False)]
 
 
-def match(a: Node, b: Node, found: list[tuple[Node, Node]], depth: int = 0) -> int:
-    """Simple tree matching: the most nodes that pair with equal labels, order and ancestry kept; ``found`` gets the pairs."""
+def _rows(gains: np.ndarray, x: np.ndarray, y: np.ndarray, above: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows of the alignment table of two child lists, from the one ``above`` them on."""
+    for i in x:
+        row = above.copy()
+        np.maximum(above[1:], above[:-1] + gains[i][y], out=row[1:])
+        above = np.maximum.accumulate(row)
+        yield above
+
+
+def _aligned(gains: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[tuple[int, int]]:
+    """Places in two child lists that pair, the last first.  Every so many rows of the table are held, those between are
+    made again, so memory grows with the lists and not with their product."""
+    step = max(1, isqrt(len(x)))
+    held = [np.zeros(len(y) + 1, np.int64)]
+    for i, row in enumerate(_rows(gains, x, y, held[0]), 1):
+        if i % step == 0:
+            held.append(row)
+    pairs, j = [], len(y)
+    for first in range((len(x) - 1) // step * step, -1, -step):
+        above = held[first // step]
+        table = [above, *_rows(gains, x[first : first + step], y, above)]
+        i = len(table) - 1
+        while i and j:
+            if table[i][j] == table[i - 1][j]:
+                i -= 1
+            elif table[i][j] == table[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs.append((first + i, j))
+    return pairs
+
+
+class Shapes:
+    """Shapes of trees (label, and shapes of the elements) by number, and the scores of pairs of them: equal shapes have
+    equal numbers, and a pair is scored once however many nodes have it."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[tuple, int] = {}
+        self.all: list[tuple[str, list[int], np.ndarray]] = []  # label, distinct shapes of the elements, places in them
+        self.scores: dict[tuple[int, int], int] = {}
+        self.of: dict[int, int] = {}
+        self.kids: dict[int, list[Node]] = {}
+
+    def add(self, root: Node) -> None:
+        if id(root) in self.of:
+            return
+        order, stack = [], [root]
+        while stack:
+            node = stack.pop()
+            order.append(node)
+            self.kids[id(node)] = kids = _elements(node)
+            stack += kids
+        for node in reversed(order):
+            inner = tuple([self.of[id(k)] for k in self.kids[id(node)]])
+            number = self.numbers.setdefault((node.label, inner), len(self.numbers))
+            if number == len(self.all):
+                distinct = {shape: i for i, shape in enumerate(dict.fromkeys(inner))}
+                self.all.append((node.label, list(distinct), np.array([distinct[k] for k in inner], np.int64)))
+            self.of[id(node)] = number
+
+    def gains(self, s: int, t: int) -> np.ndarray:
+        """What pairing an element of one shape with one of another counts."""
+        return np.array([[self.scores.get((u, v), 0) for v in self.all[t][1]] for u in self.all[s][1]], np.int64)
+
+    def score(self, s: int, t: int) -> int:
+        scores, shapes, stack = self.scores, self.all, [(s, t)]
+        while stack:
+            pair = stack[-1]
+            if pair in scores:
+                stack.pop()
+                continue
+            (_, us, x), (_, vs, y) = shapes[pair[0]], shapes[pair[1]]
+            labels: dict[str, list[int]] = {}
+            for v in vs:
+                labels.setdefault(shapes[v][0], []).append(v)
+            asked = [(u, v) for u in us for v in labels.get(shapes[u][0], ()) if (u, v) not in scores]
+            if asked:
+                stack += asked
+                continue
+            stack.pop()
+            last = np.zeros(len(y) + 1, np.int64)
+            if us and vs:
+                for last in _rows(self.gains(*pair), x, y, last):
+                    pass
+            scores[pair] = 1 + int(last[-1])
+        return scores[s, t]
+
+
+def match(a: Node, b: Node, found: list[tuple[Node, Node]], shapes: Shapes | None = None) -> int:
+    """Simple tree matching: the most nodes that pair with equal labels, order and ancestry kept; ``found`` gets the pairs.
+
+    Child lists of any length and trees of any depth are matched best.  ``shapes`` keeps what matches have in common; the
+    trees must live as long.
+    """
     if a.label != b.label:
         return 0
-    found.append((a, b))
-    x, y = _elements(a), _elements(b)
-    if not x or not y or depth > 60:
-        return 1
-    if len(x) * len(y) > CELLS:
-        got = 1
-        for p, q in zip(x, y, strict=False):
-            got += match(p, q, found, depth + 1)
-        return got
-    inner: dict[tuple[int, int], tuple[int, list]] = {}
-    table = [[0] * (len(y) + 1)]
-    for i, p in enumerate(x):
-        above, row = table[-1], [0]
-        for j, q in enumerate(y):
-            best = max(above[j + 1], row[j])
-            if p.label == q.label:
-                pairs: list[tuple[Node, Node]] = []
-                score = match(p, q, pairs, depth + 1)
-                inner[i, j] = score, pairs
-                best = max(best, above[j] + score)
-            row.append(best)
-        table.append(row)
-    i, j = len(x), len(y)
-    while i and j:
-        if table[i][j] == table[i - 1][j]:
-            i -= 1
-        elif table[i][j] == table[i][j - 1]:
-            j -= 1
-        else:
-            i, j = i - 1, j - 1
-            found += inner[i, j][1]
-    return 1 + table[-1][-1]
+    shapes = shapes or Shapes()
+    shapes.add(a)
+    shapes.add(b)
+    score = shapes.score(shapes.of[id(a)], shapes.of[id(b)])
+    places: dict[tuple[int, int], list[tuple[int, int]]] = {}
+    stack = [(a, b)]
+    while stack:
+        p, q = stack.pop()
+        found.append((p, q))
+        s, t = pair = shapes.of[id(p)], shapes.of[id(q)]
+        x, y = shapes.all[s][2], shapes.all[t][2]
+        if not len(x) or not len(y):
+            continue
+        if pair not in places:
+            places[pair] = _aligned(shapes.gains(s, t), x, y)
+        mine, other = shapes.kids[id(p)], shapes.kids[id(q)]
+        stack += [(mine[i], other[j]) for i, j in reversed(places[pair])]
+    return score
 
 
 class Wrapper:
@@ -238,9 +317,10 @@ class Wrapper:
     def _align(self, trees: list[Node]) -> None:
         pick = max(trees, key=lambda t: len(_elements(t)) and sum(1 for _ in _walk(t)))
         nodes: dict[int, Node] = {}
+        shapes = Shapes()
         for k, tree in enumerate(trees):
             pairs: list[tuple[Node, Node]] = []
-            match(pick, tree, pairs)
+            match(pick, tree, pairs, shapes)
             for p, q in pairs:
                 nodes[id(p)] = p
                 self.pairs.setdefault(id(p), []).append((k, q))

@@ -42,6 +42,17 @@ def test_tree_matching_counts_the_most_pairs():
     assert score("<h2>x</h2>", "<p>y</p>") == 2
 
 
+def test_tree_matching_is_the_best_at_any_size():
+    tree = lambda inner: html_wrapper.parse(f"<div>{inner}</div>")
+    score = lambda a, b: html_wrapper.match(tree(a), tree(b), [])
+    rows = "".join(f"<section>{k}</section><article>{k}</article>" for k in range(150))
+    # One list starts with an element that the other lacks: in step no other element would find its like.
+    pairs: list = []
+    assert html_wrapper.match(tree("<ul></ul>" + rows), tree(rows), pairs) == 302 == len(pairs)
+    assert all(p.label == q.label for p, q in pairs)
+    assert score("<div>" * 3000 + "<ul><li>a</ul>", "<div>" * 3000 + "<ul><li>a</ul>") == 3004
+
+
 def test_pages_of_all_kinds(spark):
     rng = random.Random(5)
     made = [hosted(rng, k) for k in range(60)]
