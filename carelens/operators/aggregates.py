@@ -134,10 +134,15 @@ def incident_by_nature(incidents: DataFrame, natures: Sequence[str] = INCIDENT_N
     return incident_profile(incidents, natures).select("finess", "nb_events", *[ref(n) for n in natures])
 
 
-def grouped_sum(rows: DataFrame, label: str, value: str, alias: str = "total") -> DataFrame:
-    """Sum per establishment of a table keyed by a composite label."""
-    keyed = rows.selectExpr(named(label_key(ref(label), kinds_of(rows)[label]), "finess"), named(ref(value), "value"))
-    return aggregate(keyed, ["finess"], {alias: "sum(value)"})
+def grouped_sum(rows: DataFrame, label: str, value: str, alias: str = "total", per: Sequence[str] = ()) -> DataFrame:
+    """Sum per establishment of a table keyed by a composite label, for each value of the columns ``per``.
+
+    Many tables are best summed as one, with their names in a column: sums of each, appended, are dealt alike, and Spark
+    then reads the same part of all of them in one task.
+    """
+    finess = named(label_key(ref(label), kinds_of(rows)[label]), "finess")
+    keyed = rows.selectExpr(*map(ref, per), finess, named(ref(value), "value"))
+    return aggregate(keyed, [*map(ref, per), "finess"], {alias: "sum(value)"})
 
 
 def _finance_rows(tables: Mapping[str, DataFrame], labelled: bool = False) -> DataFrame:

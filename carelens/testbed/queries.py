@@ -263,13 +263,12 @@ def incident_by_nature(spark, sf_dir):
 @query
 def grouped_sum(spark, sf_dir):
     tables = report_tables(spark, sf_dir, *[s[0] for s in T.FINANCE_SOURCES])
-    sums = [
-        A.grouped_sum(tables[name], T.FINANCE_LABEL, value).selectExpr(
-            f"'{name}' AS table_name", "finess", "CAST(total AS DOUBLE) AS total"
-        )
+    rows = delimited.concat_sources([
+        tables[name].selectExpr(f"'{name}' AS table_name", ref(T.FINANCE_LABEL), f"{value} AS value")
         for name, _, _, value in T.FINANCE_SOURCES
-    ]
-    return delimited.concat_sources(sums)
+    ])
+    sums = A.grouped_sum(rows, T.FINANCE_LABEL, "value", per=["table_name"])
+    return sums.selectExpr("table_name", "finess", "CAST(total AS DOUBLE) AS total")
 
 
 @query
