@@ -2,6 +2,8 @@
 
 import datetime as dt
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +13,7 @@ from carelens.fixed_values import COMPLAINT_VARIANT_REGIONS, LABELS
 from carelens.functions.dates import run_stamp
 from carelens.functions.keys import ref
 from carelens.plans.reports import COMPLAINTS, CONTROL, INCIDENTS, TARGETING, report_fields, sheet
+from carelens.scratch import written
 from carelens.sources.regions import label_region
 
 SHEETS = {TARGETING: "ciblage", CONTROL: "controle"}
@@ -47,6 +50,21 @@ def arrange_by_region(report: DataFrame, order: str = LABELS["finess"]) -> DataF
     return report.repartitionByRange(*keys).sortWithinPartitions(*keys)
 
 
+@contextmanager
+def _arranged(both: DataFrame, regions: DataFrame) -> Iterator[DataFrame]:
+    """The rows of both reports by region, on the executors' disks while sheets are cut from them.
+
+    They are written before they are arranged: ranges are found by looking at all rows first, which would otherwise join
+    the whole report once for that and once more to sort it.
+    """
+    labelled = written(label_region(both, regions, "region_code").drop("ncc"), "report")
+    stored = arrange_by_region(labelled).persist(StorageLevel.DISK_ONLY)
+    try:
+        yield stored
+    finally:
+        stored.unpersist()
+
+
 def _write(rows: DataFrame, folder: str, fmt: str = "parquet") -> None:
     """Replaces the regions at hand; other regions of the folder stay."""
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*FOLDERS)
@@ -67,27 +85,26 @@ def export_report(
     """Write both reports of every region, from rows built for both; returns the folder of each sheet.
 
     ``{path}/{ddmmyyyy}/{sheet}/region_code=…/nom=…`` holds one region, each file a sorted run of establishments.
-    The rows are shuffled and sorted once and kept on the executors' disks while the sheets are cut from them; what a lost
+    The rows are joined, shuffled and sorted once and kept on the executors' disks while the sheets are cut from them; what a lost
     executor held is computed again.  ``csv`` gives each region the columns of its own variant, in
     ``{sheet}_csv/{variant}``.  Regions exported before on the same day stay.
     """
     root = f"{path}/{run_stamp(day)}"
-    stored = arrange_by_region(label_region(both, regions, "region_code").drop("ncc")).persist(StorageLevel.DISK_ONLY)
     special = f"coalesce(region_code IN ({', '.join(map(str, complaint_regions)) or 'NULL'}), false)"
-    written = {}
-    for kind, name in SHEETS.items():
-        rows = sheet(stored, kind)
-        if fmt == "parquet":
-            written[name] = f"{root}/{name}"
-            _write(rows, written[name])
-            continue
-        for variant, own in ((INCIDENTS, f"NOT {special}"), (COMPLAINTS, special)):
-            layout = [LABELS[f] for f in report_fields(kind, variant)]
-            if set(layout) <= set(rows.columns):  # else no region of this variant was reported
-                written[f"{name}_{variant}"] = f"{root}/{name}_csv/{variant}"
-                _write(rows.where(own).select(*FOLDERS, *map(ref, layout)), written[f"{name}_{variant}"], "csv")
-    stored.unpersist()
-    return written
+    folders = {}
+    with _arranged(both, regions) as stored:
+        for kind, name in SHEETS.items():
+            rows = sheet(stored, kind)
+            if fmt == "parquet":
+                folders[name] = f"{root}/{name}"
+                _write(rows, folders[name])
+                continue
+            for variant, own in ((INCIDENTS, f"NOT {special}"), (COMPLAINTS, special)):
+                layout = [LABELS[f] for f in report_fields(kind, variant)]
+                if set(layout) <= set(rows.columns):  # else no region of this variant was reported
+                    folders[f"{name}_{variant}"] = f"{root}/{name}_csv/{variant}"
+                    _write(rows.where(own).select(*FOLDERS, *map(ref, layout)), folders[f"{name}_{variant}"], "csv")
+    return folders
 
 
 MANIFEST = "sheet string, region_code int, nom string, run string, published timestamp, n_rows bigint, checksum decimal(38,0)"
@@ -104,13 +121,12 @@ def publish_report(
     no rows any more is published empty.  Without it the run covers the regions that it has rows of.
     """
     root, run = f"{path}/{run_stamp(day)}", uuid.uuid4().hex
-    stored = arrange_by_region(label_region(both, regions, "region_code").drop("ncc")).persist(StorageLevel.DISK_ONLY)
     lines = []
-    for kind, name in SHEETS.items():
-        folder = f"{root}/{name}/run={run}"
-        sheet(stored, kind).write.partitionBy(*FOLDERS).parquet(folder)
-        lines.append(_region_lines(both.sparkSession.read.parquet(folder), name))
-    stored.unpersist()
+    with _arranged(both, regions) as stored:
+        for kind, name in SHEETS.items():
+            folder = f"{root}/{name}/run={run}"
+            sheet(stored, kind).write.partitionBy(*FOLDERS).parquet(folder)
+            lines.append(_region_lines(both.sparkSession.read.parquet(folder), name))
     found = lines[0].unionByName(lines[1])
     if covered is not None:
         asked = label_region(covered.selectExpr("code").distinct(), regions, "code").selectExpr("code AS region_code", "nom")
