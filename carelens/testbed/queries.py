@@ -14,7 +14,7 @@ from carelens.operators import aggregates as A
 from carelens.operators import clean as C
 from carelens.operators import joins as J
 from carelens.plans import reports as R
-from carelens.scratch import scratch_dir
+from carelens.scratch import scratch_dir, written
 from carelens.sources import delimited, headers, regions, sinks
 from carelens.testbed.views import base_tables, report_tables
 
@@ -520,8 +520,8 @@ def folder_to_report(spark, sf_dir):
     names = regions.configured_regions(spark)
     wanted = spark.createDataFrame([(0,)], "code int").union(names.select("code"))
     both = R.all_regions_report(tables, R.BOTH, wanted, COMPLAINT_REGIONS)
-    written = sinks.export_report(both, scratch_dir(spark, "output"), names, RUN_DAY, complaint_regions=COMPLAINT_REGIONS)
-    return _sheets(spark, written)
+    sheets = sinks.export_report(both, scratch_dir(spark, "output"), names, RUN_DAY, complaint_regions=COMPLAINT_REGIONS)
+    return _sheets(spark, sheets)
 
 
 @query
@@ -529,7 +529,8 @@ def published_report(spark, sf_dir):
     """Reports published twice on one day; the second run covers two regions, of which one has lost its rows."""
     t = report_tables(spark, sf_dir)
     names, path = regions.configured_regions(spark), scratch_dir(spark, "published")
-    both = R.all_regions_report(t, R.BOTH, ALL_REGIONS, COMPLAINT_REGIONS)
+    # Both runs publish the same rows, which are made once.
+    both = written(R.all_regions_report(t, R.BOTH, ALL_REGIONS, COMPLAINT_REGIONS), "both")
     sinks.publish_report(both, path, names, RUN_DAY)
     covered = spark.createDataFrame([(1,), (4,)], "code int")
     sinks.publish_report(both.where("region_code = 1"), path, names, RUN_DAY, covered)
@@ -593,7 +594,7 @@ def label_region(spark, sf_dir):
 def region_partitioned_export(spark, sf_dir):
     t = report_tables(spark, sf_dir)
     both = R.all_regions_report(t, R.BOTH, ALL_REGIONS, COMPLAINT_REGIONS)
-    written = sinks.export_report(
+    sheets = sinks.export_report(
         both, scratch_dir(spark, "export"), regions.configured_regions(spark), RUN_DAY, complaint_regions=COMPLAINT_REGIONS
     )
-    return _sheets(spark, written)
+    return _sheets(spark, sheets)
