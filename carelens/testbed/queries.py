@@ -2,6 +2,7 @@
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -460,15 +461,18 @@ def _raw_folder(spark: SparkSession, sf_dir: str, purpose: str) -> str:
     """All report tables as raw files below one folder, as a region delivers them, with some lines that are not tables'."""
     folder = scratch_dir(spark, purpose)
     options = {"header": True, "sep": ";", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    files = []
     for name, df in report_tables(spark, sf_dir).items():
         if name == T.INCIDENTS:
             for region, (rows, extra) in REGIONAL_FILES.items():
                 part = df.where(rows).selectExpr(extra, *map(ref, reversed(df.columns)))
-                part.write.options(**options).csv(f"{folder}/sivss/{region}.csv")
+                files.append((part, "UTF-8", f"{folder}/sivss/{region}.csv"))
         else:
-            encoding = "ISO-8859-1" if name in LATIN_TABLES else "UTF-8"
-            df.write.options(encoding=encoding, **options).csv(f"{folder}/tables/{name}.csv")
-    report_tables(spark, sf_dir, T.COMMUNES)[T.COMMUNES].write.options(**options).csv(f"{folder}/demo.csv")
+            files.append((df, "ISO-8859-1" if name in LATIN_TABLES else "UTF-8", f"{folder}/tables/{name}.csv"))
+    files.append((report_tables(spark, sf_dir, T.COMMUNES)[T.COMMUNES], "UTF-8", f"{folder}/demo.csv"))
+    # Tables are written side by side: most have too few tasks to take the cluster on their own.
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda f: f[0].write.options(encoding=f[1], **options).csv(f[2]), files))
     bad = spark.createDataFrame([("dep;reg;ncc",), *((x,) for x in _BAD_LINES)], "line string").coalesce(1)
     bad.write.text(f"{folder}/tables/{T.DEPARTMENTS}.csv/faulty.csv")
     return folder
