@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from functools import partial
 from itertools import chain
 
 import numpy as np
@@ -23,12 +24,29 @@ from carelens.llm.common import WordMemo, chunks, partitions, scratch, slices, w
 STORED = "doc_id bigint, part int, start_in_part bigint, n_tokens bigint, ids array<int>"
 _coders: dict[str, WordMemo] = {}
 
+_LETTER = np.array([chr(b).isascii() and chr(b).isalpha() for b in range(256)])
+#: The second bytes of Latin letters that begin with 0xC3.
+_LATIN = np.array([0x80 <= b <= 0xBF and b not in (0x97, 0xB7) for b in range(256)])
+_VISIBLE = np.array([0x21 <= b <= 0x7E for b in range(256)])
+
+
+def _cuts(data: np.ndarray, sign: np.ndarray, line: bool) -> np.ndarray:
+    """Marks every ``sign`` behind a letter and, with ``line``, every line end behind a letter or visible ASCII character."""
+    cut = np.zeros(len(data), bool)
+    at = np.flatnonzero(sign[data[1:]]) + 1
+    ends = np.flatnonzero(data[1:] == 0x0A) + 1 if line else at[:0]
+    for places, before in ((at, _LETTER), (ends, _VISIBLE)):
+        one, two = data[places - 1], data[np.maximum(places - 2, 0)]
+        cut[places[before[one] | (_LATIN[one] & (two == 0xC3) & (places > 1))]] = True
+    return cut
+
 
 def coder(path: str):
     """A function from texts to (ids of all, ids per text); one for each worker process, which keeps coded words.
 
     The byte-level scheme cuts a text before every space that follows a character other than white space, and special
-    tokens hold no space, so the words of ``WordMemo`` can be coded apart.
+    tokens hold no space, so the words of ``WordMemo`` can be coded apart.  It also cuts between a letter and a sign, and
+    between either and a line end: with these cuts a word is coded once whatever stands behind it.
     """
     if path not in _coders:
         # One thread a task: the words of a batch are too short to be dealt over threads.
@@ -45,19 +63,23 @@ def coder(path: str):
         for i, token in library.get_added_tokens_decoder().items():
             width[i] = len(token.content.encode("utf-8"))
 
+        # A cut before what a special token holds behind its first character might fall into the token.
+        inside = {b for token in library.get_added_tokens_decoder().values() for b in token.content.encode("utf-8")[1:]}
+        cut = partial(_cuts, sign=np.array([33 <= b < 127 and not chr(b).isalnum() and b not in inside for b in range(256)]), line=10 not in inside)
+
         def apart(new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             ids = [e.ids for e in library.encode_batch_fast([w.decode("utf-8") for w in new], add_special_tokens=False)]
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             return np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum())), lengths
 
         def words(new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-            """Words that begin with a space are coded in one text; the widths of its ids tell where each word ends."""
+            """Words that begin with a space or a line end are coded in one text; the widths of its ids tell where each word ends."""
             if not new:
                 return np.zeros(0, np.int32), np.zeros(0, np.int64)
             flat, lengths = [], []
             for k in range(0, len(new), 1000):
                 some = new[k : k + 1000]
-                if all(w[:1] == b" " for w in some):
+                if all(w[:1] in (b" ", b"\n") for w in some):
                     text = library.encode_batch_fast([b"".join(some).decode("utf-8")], add_special_tokens=False)[0]
                     ids = np.array(text.ids, np.int32)
                     ends = np.cumsum(np.fromiter(map(len, some), np.int64, len(some)))
@@ -72,7 +94,7 @@ def coder(path: str):
                 lengths.append(counts)
             return np.concatenate(flat), np.concatenate(lengths)
 
-        _coders[path] = WordMemo(words)
+        _coders[path] = WordMemo(words, cut=cut)
     memo = _coders[path]
 
     def encode(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelens.llm import pieces, shards, shingle_join, suffix_dedup, token_store
+from carelens.llm.common import WordMemo
 from carelens.llm.components import components
 from tests.llm.docs import SCHEMA, documents, frame, words
 
@@ -84,6 +85,44 @@ def test_token_files(spark):
     assert token_store.token_digest(frame(spark).limit(0), BPE).count() == 0
 
 
+def test_words_are_coded_once_whatever_follows(monkeypatch):
+    monkeypatch.setattr(token_store, "_coders", {})
+    encode = token_store.coder(BPE)
+    some = sorted({w for w in words(random.Random(6), 60).split()}) + ["été", "Ñu"]
+    list(encode(["".join(f" {w}{s} \n" for w in some for s in ("", ",", ".", "!", ")"))]))
+    assert token_store._coders[BPE].n < 1.5 * len(some)
+
+
+def test_cut_words_are_those_of_the_library():
+    from tokenizers import Tokenizer
+
+    library, encode, rng = Tokenizer.from_file(BPE), token_store.coder(BPE), random.Random(8)
+    parts = [*"abTe'sr ,.;|<>!?\"()-#&019\n\n  \t\réñß×÷Ж中—😀\u00a0\u3000\u0301\u2028\x1c\x85\0\x7f"]
+    parts += ["<|endoftext|>", "endoftext", "'s", "'re", "'ll", "the ", "word.\n", "\n\n", "   ", " \n", "too,\n"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(20_000)]
+    got = [ids.tolist() for _, flat, n in encode(texts) for ids in np.split(flat, np.cumsum(n)[:-1])]
+    assert got == [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+@pytest.mark.parametrize("limit", [100, 90])
+def test_full_memo_keeps_words_met_again(limit):
+    coded = []
+
+    def code(new):
+        coded.extend(new)
+        return [np.frombuffer(w, np.uint8).astype(np.int32) for w in new]
+
+    memo, hot = WordMemo(code, limit), "".join(f" hot{i}" for i in range(50)).encode()
+    for k in range(6):
+        texts = [hot, b"", "".join(f" cold{k}.{i}" for i in range(30)).encode()]
+        codes, counts = memo.encode(texts)
+        assert bytes(codes.astype(np.uint8)) == b"".join(texts) and counts.tolist() == list(map(len, texts))
+        assert memo.n <= limit + 80
+    times = Counter(w for w in coded if w.startswith(b" hot"))
+    # Words met again stay if they fill no more than half of the limit.
+    assert len(times) == 50 and (set(times.values()) == {1}) == (limit == 100)
+
+
 def test_token_files_are_selective(spark, tmp_path):
     import pyarrow.parquet as pq
 
