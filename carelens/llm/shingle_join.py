@@ -6,8 +6,9 @@
    meet by shingle; pairs that sizes and places in the order rule out are dropped.  Short lists give all their pairs,
    long ones a few that connect them; members of long lists that are still unconnected at the end are all compared, block
    of members by block, each pair of blocks a group of its own.
-3. Candidates are counted over fragments: the order is cut by shingle hash, each fragment of a group of candidates is
-   counted apart, and a pair's partial overlaps are summed.
+3. Candidates whose sizes and parity sketches rule the similarity out are dropped.  The others are counted over fragments:
+   the order is cut by shingle hash, each fragment of a group of candidates is counted apart, and a pair's partial overlaps
+   are summed.  A group is a set with some of those it is paired with, so it stays small however candidates hang together.
 """
 
 from __future__ import annotations
@@ -21,21 +22,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelens.llm.common import Rolling, chunks, joined, mix, numbered, partitions, slices, stored, whole_text
+from carelens.llm.common import Rolling, chunks, exploded, joined, mix, numbered, partitions, slices, stored, whole_text
 from carelens.llm.components import components
 
 #: The sketch has 2**SKETCH_BITS counters, whatever the input; it is cut into SLICES rows.
 SKETCH_BITS, SLICES = 20, 64
 #: Lists of up to this many nodes give all their pairs at once.
 SHORT_LIST = 8
-#: Shingles of one fragment of a group of candidates.
-FRAGMENT = 500_000
+#: Shingles of one set in one fragment, and of the sets that one group pairs with its first; and how many these are.
+FRAGMENT, GROUP = 500_000, 256
+#: Bytes of fragments that are handed on at once.
+HANDED = 8 << 20
 #: Bits of a set's parity sketch: the bits in which two sketches differ are no more than the shingles in which the sets do.
 PARITY_BITS = 1024
 #: In a long list each node is paired with so many that follow it.
 NEXT = 4
 #: Members of a long list that are compared at once with as many others.
 BLOCK = 2048
+#: Pairs of blocks with so few pairs of members are compared many at once, up to AT_ONCE pairs of members.
+FEW, AT_ONCE = 4096, 1 << 19
 #: Lists of a shingle this much above the mean count are dealt over SALTS tasks.
 HOT, SALTS = 8, 16
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -271,7 +276,7 @@ def _lists(percent: int):
 def _near(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
     """Pairs of (node, n, place, component, parity) rows in different components that can reach the similarity."""
     (u, n1, p1, c1, s1), (v, n2, p2, c2, s2) = left, right
-    few = len(u) * len(v) <= 4096
+    few = len(u) * len(v) <= FEW
     if not few:
         # Parity bits as 1 and -1: a matrix product counts those that agree.
         s1, s2 = (np.unpackbits(x, axis=1).astype(np.float32) * 2 - 1 for x in (s1, s2))
@@ -289,6 +294,29 @@ def _near(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.n
     return np.unique(np.sort(np.concatenate(out, axis=1), axis=0), axis=1)
 
 
+def _near_in_runs(rows: list[np.ndarray], left: tuple, right: tuple, same: np.ndarray, percent: int) -> Iterator[np.ndarray]:
+    """The same for many short runs: ``left`` and ``right`` are the first rows and the lengths of what meets in each."""
+    (i0, ni), (j0, nj) = left, right
+    node, n, place, component = (x.astype(np.int64) for x in rows[:4])
+    parity = np.ascontiguousarray(rows[4]).view(np.uint64)
+    upto = np.concatenate([[0], np.cumsum(ni * nj)])
+    a = 0
+    while a < len(i0):
+        b = max(a + 1, int(np.searchsorted(upto, upto[a] + AT_ONCE, "right")) - 1)
+        x = exploded(i0[a:b], ni[a:b])  # each left row as often as it has right ones
+        width = np.repeat(nj[a:b], ni[a:b])
+        i, j = np.repeat(x, width), exploded(np.repeat(j0[a:b], ni[a:b]), width)
+        least = -(-percent * (n[i] + n[j]) // (100 + percent))
+        ok = (component[i] != component[j]) & (np.minimum(n[i] - place[i], n[j] - place[j]) >= least)
+        ok &= (i < j) | ~np.repeat(np.repeat(same[a:b], ni[a:b]), width)
+        i, j, least = i[ok], j[ok], least[ok]
+        differ = np.bitwise_count(parity[i] ^ parity[j]).sum(axis=1, dtype=np.int64)
+        ok = differ <= n[i] + n[j] - 2 * least
+        u, v = node[i[ok]], node[j[ok]]
+        yield np.stack([np.minimum(u, v), np.maximum(u, v)])
+        a = b
+
+
 def _unconnected(percent: int):
     """The pairs of two blocks of one list as a frame; the last part of the key tells a block that meets itself."""
 
@@ -312,17 +340,20 @@ def _unconnected_runs(percent: int):
             new = np.zeros(max(0, len(rows[0]) - 1), bool)
             for k in range(5):
                 new |= rows[k][1:] != rows[k][:-1]
-            bounds = [0, *(np.flatnonzero(new) + 1).tolist(), len(rows[0])]
-            found = []
-            for a, b in zip(bounds, bounds[1:], strict=False):
-                same, side = rows[5][a], rows[6][a:b]
-                cut = a + int(np.searchsorted(side, 1))
-                left, right = ([x[s] for x in rows[7:]] for s in ((slice(a, b),) * 2 if same else (slice(a, cut), slice(cut, b))))
-                if len(left[0]) and len(right[0]):
-                    found.append(_near(left, right, percent))
-            pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
-            if pairs.shape[1]:
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+            bounds = np.concatenate([[0], np.flatnonzero(new) + 1, [len(rows[0])]])
+            first, sizes, same = bounds[:-1], np.diff(bounds), rows[5][bounds[:-1]].astype(bool)
+            lefts = np.add.reduceat(rows[6] == 0, first, dtype=np.int64)
+            i0, ni, j0, nj = first, np.where(same, sizes, lefts), np.where(same, first, first + lefts), np.where(same, sizes, sizes - lefts)
+            many, few = ni * nj > FEW, (ni * nj > 0) & (ni * nj <= FEW)
+
+            def found() -> Iterator[np.ndarray]:
+                for i, k, j, m in zip(i0[many], ni[many], j0[many], nj[many], strict=True):
+                    yield _near([x[i : i + k] for x in rows[7:]], [x[j : j + m] for x in rows[7:]], percent)
+                yield from _near_in_runs(rows[7:], (i0[few], ni[few]), (j0[few], nj[few]), same[few], percent)
+
+            for pairs in found():
+                if pairs.shape[1]:
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
         held: list[np.ndarray] | None = None
         for batch in batches:
@@ -371,47 +402,88 @@ def _block_pairs(rest: DataFrame, percent: int) -> DataFrame:
     return sent.select("shingle", "to.x", "to.y", F.expr("to.x = to.y").alias("same"), "to.side", "a", "n", "place", "component", "parity")
 
 
+def _alike(percent: int):
+    """Of pairs with the sizes and parity sketches of both sets those that can reach the similarity, with the sizes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = batch.column(2).to_numpy().astype(np.int64) + batch.column(3).to_numpy()
+            least = -(-percent * both // (100 + percent))
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(batch.num_rows, PARITY_BITS // 64) for k in (4, 5))
+            differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            ok = (np.minimum(batch.column(2).to_numpy(), batch.column(3).to_numpy()) >= least) & (differ <= both - 2 * least)
+            yield batch.select([0, 1, 2, 3]).filter(pa.array(ok))
+
+    return run
+
+
+def _groups(found: DataFrame) -> DataFrame:
+    """(node, g, block, cuts) for candidate pairs (a, b, na, nb): the sets that meet in each group.
+
+    A group is the set of its ``g`` and, of the larger nodes paired with it, those of one ``block``, about ``FRAGMENT``
+    shingles or ``GROUP`` sets; it is counted in ``cuts`` fragments.
+    """
+    hubs = found.groupBy("a").agg(
+        F.ceil(F.greatest(F.sum("nb") / F.lit(FRAGMENT), F.count("*") / F.lit(GROUP))).cast("int").alias("blocks"),
+        F.ceil(F.max(F.greatest("na", "nb")) / F.lit(FRAGMENT)).cast("int").alias("cuts"),
+    )
+    first = hubs.select(F.col("a").alias("node"), F.col("a").alias("g"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "cuts")
+    others = found.join(hubs, "a").select(
+        F.col("b").alias("node"), F.col("a").alias("g"), F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), "cuts"
+    )
+    return first.union(others)
+
+
 def _fragments(size: int):
+    """The fragments of each set, once for each group it is in."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def handed(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows, strict=True))
+            types = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["g", "block", "fragment", "node", "n", "own"]
+            )
+
         for batch in slices(batches):
             texts = [t.encode("utf-8") for t in batch.column(0).to_pylist()]
-            node, group, cuts = (batch.column(k).to_numpy() for k in (1, 2, 3))
+            node, groups = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            rows, held = [], 0
             for first, shingles, counts in shingle_sets(texts, size):
                 ends = np.concatenate([[0], np.cumsum(counts)]).tolist()
-                rows: list[tuple] = []
                 for i in range(len(counts)):
                     own, k = shingles[ends[i] : ends[i + 1]], first + i
-                    f = int(cuts[k])
-                    # Hashes are sorted: each fragment is a run of them.
-                    at = [0, *np.searchsorted(own, np.array([(j << 64) // f for j in range(1, f)], np.uint64)).tolist(), len(own)] if f > 1 else [0, len(own)]
-                    rows += [(group[k], j, node[k], len(own), own[at[j] : at[j + 1]].tobytes()) for j in range(f)]
-                if rows:
-                    columns = list(zip(*rows, strict=True))
-                    types = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary())
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["g", "fragment", "a", "n", "own"]
-                    )
+                    parts: dict[int, list[bytes]] = {}
+                    for to in groups[k]:
+                        if (f := to["cuts"]) not in parts:
+                            # Hashes are sorted: each fragment is a run of them.
+                            at = [0, *np.searchsorted(own, np.array([(j << 64) // f for j in range(1, f)], np.uint64)).tolist(), len(own)]
+                            parts[f] = [own[x:y].tobytes() for x, y in zip(at, at[1:], strict=False)]
+                        rows += [(to["g"], to["block"], j, node[k], len(own), part) for j, part in enumerate(parts[f])]
+                        held += own.nbytes
+                        if held > HANDED:
+                            yield handed(rows)
+                            rows, held = [], 0
+            if rows:
+                yield handed(rows)
 
     return run
 
 
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Partial overlaps.  Rows come ordered by group and fragment, the sets (b NULL) before the pairs."""
-    sets: dict[int, tuple[int, np.ndarray]] = {}
-    at = None
+    """Partial overlaps of a group's first set with its others.  Rows come ordered by group and fragment, the first set first."""
+    nx, x = 0, np.zeros(0, np.uint64)
     for batch in batches:
-        g, fragment, a, b, n, own = (c.to_pylist() for c in batch.columns)
+        g, node, n, own = (batch.column(k).to_pylist() for k in (0, 3, 4, 5))
         rows = []
         for i in range(len(g)):
-            if (g[i], fragment[i]) != at:
-                at, sets = (g[i], fragment[i]), {}
-            if b[i] is None:
-                sets[a[i]] = n[i], np.frombuffer(own[i], np.uint64)
-            else:
-                (nx, x), (ny, y) = sets[a[i]], sets[b[i]]
-                both = np.concatenate([x, y])
-                both.sort()
-                rows.append((a[i], b[i], nx, ny, int((both[1:] == both[:-1]).sum())))
+            y = np.frombuffer(own[i], np.uint64)
+            if node[i] == g[i]:
+                nx, x = n[i], y
+                continue
+            both = np.concatenate([x, y])
+            both.sort()
+            rows.append((g[i], node[i], nx, n[i], int((both[1:] == both[:-1]).sum())))
         if rows:
             columns = list(zip(*rows, strict=True))
             types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
@@ -420,25 +492,17 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _verified(texts: DataFrame, profile: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """The candidate pairs that reach the similarity."""
+def _verified(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The candidate pairs (a < b) that reach the similarity."""
     n_parts = partitions(texts.sparkSession)
-    groups = components(pairs).select(F.col("id").alias("node"), F.col("component").alias("g"))
-    one = profile.groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"))
-    wanted = one.join(groups, "node")
-    cuts = wanted.groupBy("g").agg(F.ceil(F.sum("n") / F.lit(FRAGMENT)).cast("int").alias("cuts"))
-    wanted = wanted.join(cuts, "g")
-    chosen = texts.join(wanted.select("row", "node", "g", "cuts"), "row")
-    sets = chosen.select("text", "node", "g", "cuts").mapInArrow(
-        _fragments(size), "g bigint, fragment int, a bigint, n int, own binary"
-    )
-    asked = pairs.join(wanted.select(F.col("node").alias("a"), "g", "cuts"), "a")
-    asked = asked.select("g", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("fragment"), "a", "b")
-    none = F.lit(None)
-    rows = sets.select("g", "fragment", "a", none.cast("bigint").alias("b"), "n", "own").unionByName(
-        asked.select("g", "fragment", "a", "b", none.cast("int").alias("n"), none.cast("binary").alias("own"))
-    )
-    rows = rows.repartition(n_parts, "g", "fragment").sortWithinPartitions("g", "fragment", F.col("b").asc_nulls_first())
+    one, other = (nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("parity").alias(f"parity_{k}")) for k in "ab")
+    asked = pairs.join(one, "a").join(other, "b").select("a", "b", "na", "nb", "parity_a", "parity_b")
+    found = stored(asked.mapInArrow(_alike(percent), "a bigint, b bigint, na int, nb int"), "candidates")
+    groups = _groups(found).groupBy("node").agg(F.collect_list(F.struct("g", "block", "cuts")).alias("groups"))
+    wanted = groups.join(nodes.select("node", "row"), "node")
+    chosen = texts.join(wanted, "row").select("text", "node", "groups")
+    sets = chosen.mapInArrow(_fragments(size), "g bigint, block int, fragment int, node bigint, n int, own binary")
+    rows = sets.repartition(n_parts, "g", "block", "fragment").sortWithinPartitions("g", "block", "fragment", F.col("node") != F.col("g"))
     partial = rows.mapInArrow(_overlaps, "a bigint, b bigint, na int, nb int, part int")
     summed = partial.groupBy("a", "b", "na", "nb").agg(F.sum("part").alias("both"))
     return summed.where(f"100 * both >= {percent} * (na + nb - both)").select("a", "b")
@@ -458,7 +522,10 @@ def shingle_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     seen = stored(texts.mapInArrow(_profile(size), "doc_id bigint, row bigint, n bigint, node bigint, parity binary, slice int, counts binary"), "profile")
     profile = seen.where("slice is null").select("doc_id", "row", "n", "node")
     levels = spark.sparkContext.broadcast(_levels(seen.where("slice is not null").select("slice", "counts")))
-    filled = profile.where("n > 0 and doc_id is not null")
+    nodes = seen.where("slice is null and n > 0 and doc_id is not null").groupBy("node").agg(
+        F.min("row").alias("row"), F.first("n").cast("int").alias("n"), F.first("parity").alias("parity")
+    )
+    nodes = stored(nodes, "nodes")
 
     rows = texts.where("doc_id is not null").select("text").mapInArrow(
         _prefixes(size, percent, levels), "shingle bigint, salt smallint, node bigint, n int, place int"
@@ -468,14 +535,13 @@ def shingle_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     pairs = stored(found.where("b is not null").select("a", "b").distinct(), "pairs")
     long = found.where("b is null").select("shingle", "a", "n", "place").distinct()
 
-    links = stored(_verified(texts, filled, pairs, size, percent), "verified")
+    links = stored(_verified(texts, nodes, pairs, size, percent), "verified")
     label = components(links)
     named = label.select(F.col("id").alias("a"), "component")
-    members = long.join(named, "a", "left").withColumn("component", F.coalesce("component", "a"))
+    members = stored(long.join(named, "a", "left").withColumn("component", F.coalesce("component", "a")), "members")
     open_ = members.groupBy("shingle").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y")
     rest = members.join(open_.select("shingle"), "shingle", "left_semi")
-    sketches = seen.where("slice is null and n > 0").groupBy(F.col("node").alias("a")).agg(F.first("parity").alias("parity"))
-    rest = rest.join(sketches, "a")
+    rest = rest.join(nodes.select(F.col("node").alias("a"), "parity"), "a")
     sent = _block_pairs(rest, percent)
     names = ["shingle", "xc", "xk", "yc", "yk", "same", "side", "a", "n", "place", "component", "parity"]
     sent = sent.selectExpr("shingle", "x.c AS xc", "x.k AS xk", "y.c AS yc", "y.k AS yk", *names[5:])
@@ -483,7 +549,7 @@ def shingle_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     more = sent.mapInArrow(_unconnected_runs(percent), "a bigint, b bigint").distinct()
     more = stored(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
     if not more.isEmpty():
-        label = components(links.union(_verified(texts, filled, more, size, percent)))
+        label = components(links.union(_verified(texts, nodes, more, size, percent)))
     label = stored(label, "labels")
 
     named = profile.join(label.select(F.col("id").alias("node"), "component"), "node", "left")

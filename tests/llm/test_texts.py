@@ -331,3 +331,70 @@ def test_blocks_of_a_long_list_meet_once(spark, monkeypatch):
     sizes = {r[1]: r[2] for r in rows}
     wanted = {(a, b) for a in sizes for b in sizes if a < b and min(sizes[a], sizes[b]) >= 0.8 * max(sizes[a], sizes[b])}
     assert wanted <= set(met) and all(len(v) == 1 for v in met.values())
+
+
+def test_candidates_that_hang_together_are_counted_once(spark, monkeypatch):
+    """Texts that share a passage with the next one are one long chain of candidates: its length is no factor of the work."""
+    rng = random.Random(11)
+    passage = [words(rng, 30) for _ in range(61)]
+    rows = [(i, " ".join([passage[i], words(rng, 5), passage[i + 1]]), "en", "s", 1) for i in range(60)]
+    rows += [(100 + i, rows[i][1] + " more", "en", "s", 1) for i in range(0, 60, 6)]
+    met, overlaps = spark.sparkContext.accumulator(0), shingle_join._overlaps
+
+    def counted(batches):
+        def seen():
+            for batch in batches:
+                met.add(batch.num_rows)
+                yield batch
+
+        yield from overlaps(seen())
+
+    monkeypatch.setattr(shingle_join, "_overlaps", counted)
+    monkeypatch.setattr(shingle_join, "FRAGMENT", 50)
+    monkeypatch.setattr(shingle_join, "SKETCH_BITS", 6)  # it tells no more than a full one of a large table
+    got = {r["doc_id"]: r["component_id"] for r in shingle_join.shingle_components(frame(spark, rows)).collect()}
+    assert got == jaccard_components(rows)[1] and got[100] == 0 and got[1] == 1
+    assert 0 < met.value < 500
+
+
+def test_short_runs_are_compared_as_long_ones(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(8)
+    rows, runs, close = [], [], rng.integers(0, 256, 128, np.uint8)
+    for shingle in range(40):
+        same, n = bool(shingle % 2), int(rng.integers(2, 30))
+        side = np.zeros(n, int) if same else np.sort(rng.integers(0, 2, n))
+        runs.append((same, []))
+        for k in range(n):
+            parity = close.copy()
+            parity[rng.integers(0, 128, 3)] ^= np.uint8(1 << int(rng.integers(0, 8)))
+            row = (shingle * 100 + k, int(rng.integers(20, 60)), int(rng.integers(0, 6)), int(rng.integers(0, 4)), parity.tobytes())
+            runs[-1][1].append((int(side[k]), row))
+            rows.append((shingle, 1, 0, 1, 0, same, int(side[k]), *row))
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names=[str(k) for k in range(12)])
+
+    def linked(x, y):
+        both = x[1] + y[1]
+        least = -(-80 * both // 180)
+        differ = sum((a ^ b).bit_count() for a, b in zip(x[4], y[4], strict=True))
+        return x[3] != y[3] and min(x[1] - x[2], y[1] - y[2]) >= least and differ <= both - 2 * least
+
+    want = {(x[0], y[0]) for same, run in runs for s, x in run for t, y in run if x[0] < y[0] and (same or s != t) and linked(x, y)}
+    for few, at_once in ((4096, 1 << 19), (4096, 50), (0, 50), (200, 300)):
+        monkeypatch.setattr(shingle_join, "FEW", few)
+        monkeypatch.setattr(shingle_join, "AT_ONCE", at_once)
+        parts = [batch.slice(a, 77) for a in range(0, len(rows), 77)]
+        got = [p for b in shingle_join._unconnected_runs(80)(iter(parts)) for p in zip(*(c.to_pylist() for c in b.columns), strict=True)]
+        assert set(got) == want and len(want) > 50
+
+
+def test_sets_of_a_hub_meet_it_in_one_block_each(spark, monkeypatch):
+    monkeypatch.setattr(shingle_join, "GROUP", 10)
+    found = spark.createDataFrame([(0, b, 40, 40 + b) for b in range(1, 96)] + [(5, 9, 45, 49)], "a bigint, b bigint, na int, nb int")
+    rows = shingle_join._groups(found).collect()
+    first = {(r["g"], r["block"]) for r in rows if r["node"] == r["g"]}
+    others = [r for r in rows if r["node"] != r["g"]]
+    assert Counter((r["g"], r["node"]) for r in others) == Counter([(0, b) for b in range(1, 96)] + [(5, 9)])
+    assert {(r["g"], r["block"]) for r in others} <= first and len(first) == 11
+    assert max(Counter((r["g"], r["block"]) for r in others).values()) < 30
